@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.plans import copies
+from ledgerlake.plans import copies, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,8 @@ def queries() -> dict[str, Query]:
     return {
         "p3_found": copies.p3_found,
         "p3_differences": copies.differences,
+        "p5_found": quality.p5_found,
+        "p5_profile": quality.p5_profile,
     }
 
 
