@@ -18,7 +18,7 @@ def company_key(name: Column) -> Column:
     words = F.trim(F.regexp_replace(F.upper(fold(name)), r"[^A-Z0-9]+", " "))
     bare = F.regexp_replace(words, rf"^(?:(?:{'|'.join(FORMS_BEFORE)}) )+(?=\S)", "")
     bare = F.regexp_replace(bare, rf"(?<=\S)(?: (?:{'|'.join(FORMS_AFTER)}))+$", "")
-    return F.when(bare != "", bare)
+    return F.nullif(bare, F.lit(""))
 
 
 def company_names(issuers: DataFrame) -> DataFrame:

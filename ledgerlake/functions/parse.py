@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Decimal digits of the Arabic and the extended Arabic block, in order.
 ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
-SPACES = r"[\s\u00a0\u2000-\u200b\u202f\u2060\u3000\ufeff]"
-MINUS = r"[\u2010-\u2015\u2212]"
+BLANK = r"\s\u00a0\u2000-\u200b\u202f\u2060\u3000\ufeff"
+SPACES = f"[{BLANK}]"
+DASH = r"\-\u2010-\u2015\u2212"
+
+
+#: Characters that a number drops: blanks of all kinds and apostrophes.
+_DROPPED = " \t\r\n\u00a0" + "".join(map(chr, range(0x2000, 0x200C))) + "\u202f\u2060\u3000\ufeff'\u2019"
+_DASHES = "".join(map(chr, range(0x2010, 0x2016))) + "\u2212"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def latin_digits(text: Column) -> Column:
@@ -24,29 +37,31 @@ def parse_year(text: Column) -> Column:
     digits = latin_digits(text)
     digits = F.regexp_replace(digits, r"(?<=\d)[Oo](?=[\dOo])|(?<=\d[Oo])[Oo]|(?<=\d)[Oo](?=\b)", "0")
     digits = F.regexp_replace(digits, rf"(?<=\d){SPACES}+(?=\d)", "")
-    found = F.regexp_extract(digits, r"(?<!\d)(\d{4})(?!\d)", 1)
-    return F.when(found != "", found).cast("int")
+    return F.nullif(F.regexp_extract(digits, r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")).cast("int")
 
 
 def amount_text(text: Column) -> Column:
-    """Canonical decimal text of an amount in mixed notation, or null where the cell holds no number.
+    """Decimal text of an amount in mixed notation, to be read with ``try_cast``; null where the cell holds no number.
 
     A comma is the decimal sign unless a dot follows it later in the cell; one dot with one or two digits after it
-    is decimal, any other dots group thousands; brackets or a leading minus mean minus. Blanks of all kinds and
-    apostrophes inside the number are grouping.
+    is decimal, any other dots group thousands; brackets or a minus at either end mean minus. Blanks of all kinds and
+    apostrophes are grouping.
     """
-    flat = F.regexp_replace(latin_digits(text), rf"{SPACES}|['’]", "")
-    flat = F.regexp_replace(flat, MINUS, "-")
-    negative = flat.rlike(r"^\(.*\)$|^-|-$")
-    body = F.regexp_replace(flat, r"^[(+\-]+|[)\-]+$", "")
-    number = (
-        F.when(body.rlike(r"^\d[\d.]*,\d*$"), F.regexp_replace(F.regexp_replace(body, r"\.", ""), ",", "."))
-        .when(body.rlike(r"^,\d+$"), F.regexp_replace(body, ",", "0."))
-        .when(body.rlike(r"^\d[\d,]*,[\d,]*\.\d*$"), F.regexp_replace(body, ",", ""))
-        .when(body.rlike(r"^\d+(\.\d{1,2})?$"), body)
-        .when(body.rlike(r"^\d[\d.]*$"), F.regexp_replace(body, r"\.", ""))
-    )
-    return F.when(negative, F.concat(F.lit("-"), number)).otherwise(number)
+    digits = "0123456789"
+    flat = F.translate(text, ARABIC_DIGITS + _DASHES + _DROPPED, digits * 2 + "-" * len(_DASHES))
+
+    def number(b: Column) -> Column:
+        return (
+            F.when(b.contains(","), F.when(b.rlike(r",.*\."), F.translate(b, ",", "")).otherwise(F.translate(b, ",.", ".")))
+            .when(b.rlike(r"^\d*\.\d{1,2}$"), b)
+            .otherwise(F.translate(b, ".", ""))
+        )
+
+    def signed(f: Column) -> Column:
+        minus = F.when(f.startswith("-") | f.endswith("-") | f.startswith("("), "-").otherwise("")
+        return F.when(f.rlike(r"^[(+-]*[.,]?\d[\d.,]*[)-]?$"), F.concat(minus, let(F.translate(f, "(+-)", ""), number)))
+
+    return let(flat, signed)
 
 
 def parse_amount(text: Column) -> Column:

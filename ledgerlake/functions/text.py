@@ -16,9 +16,8 @@ LEGAL_WORDS = ("SA", "SARL", "SAS", "SCA", "STE", "SOCIETE", "GROUPE", "GROUP",
 
 def fold(text: Column) -> Column:
     """Letters without marks: composed ones by table, combining marks dropped, ligatures opened."""
-    plain = F.translate(text, MARKED, PLAIN)
-    plain = F.regexp_replace(plain, r"\p{M}+", "")
-    return F.regexp_replace(F.regexp_replace(plain, "œ", "oe"), "Œ", "OE")
+    plain = F.translate(text, MARKED + "".join(map(chr, range(0x300, 0x370))), PLAIN)
+    return F.replace(F.replace(plain, F.lit("œ"), F.lit("oe")), F.lit("Œ"), F.lit("OE"))
 
 
 def unaccent(text: Column) -> Column:

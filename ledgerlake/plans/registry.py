@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.plans import copies, quality
+from ledgerlake.plans import copies, quality, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": units.p1_found,
+        "p1_amounts": units.p1_amounts,
         "p3_found": copies.p3_found,
         "p3_differences": copies.differences,
         "p5_found": quality.p5_found,
