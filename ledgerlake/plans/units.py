@@ -30,6 +30,7 @@ SCALE = {"DH": 1.0, "KDH": 1e3, "MDH": 1e6, "GDH": 1e9, "CDH": 0.01, "EUR": 1.0,
 #: Phrases of a caption after which the unit of the table's amounts follows.
 CAPTION_UNIT = r"(?i)(?:\[|exprim[ée]e?s? en |chiffres en |unit[ée]\s*:\s*|contraire,? en |\(en |montants en )([^\])(;–—/]+)"
 CAPTION_COLUMN = r"(?i)colonne (\d{4})\s*:\s*([^,;/()\[\]–—]+)"
+CAPTION_RANK = (r"(?:\(N en |exercice en )([^;,)(–—]+)", r"(?:N-1 en |précédent en |precedent en )([^;,)(–—]+)")
 HEAD = rf"^[{BLANK}(+{DASH}]*\d"
 CELL = rf"{HEAD}[\d.,'’{BLANK}]*[){DASH}]?(.*)$"
 FIELDS = {"value_current": 0, "value_previous": 1}
@@ -51,12 +52,14 @@ def holds_number(cell: Column) -> Column:
     return F.coalesce(cell.rlike(HEAD), F.lit(False))
 
 
-def caption_column(caption: Column, year: Column) -> Column:
-    """What a caption says of the column of ``year``."""
+def caption_column(caption: Column, year: Column, back: int) -> Column:
+    """What a caption says of the column of ``year``, the one ``back`` years before the table's."""
     years = F.regexp_extract_all(caption, F.lit(CAPTION_COLUMN), F.lit(1))
     units = F.regexp_extract_all(caption, F.lit(CAPTION_COLUMN), F.lit(2))
     at = F.array_position(years, year.cast("string")).cast("int")
-    return F.when(caption.contains("colonne") & (at > 0), text_of(F.get(units, at - 1)))
+    by_year = F.when(caption.contains("colonne") & (at > 0), text_of(F.get(units, at - 1)))
+    by_rank = F.when(caption.contains("N-1 en ") | caption.contains("dent en "), text_of(F.regexp_extract(caption, CAPTION_RANK[back], 1)))
+    return F.coalesce(by_year, by_rank)
 
 
 def stated(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,7 +71,7 @@ def stated(spark: SparkSession, folder: str) -> DataFrame:
         *[cell_unit(F.col(c)).alias(f"c{i}") for c, i in FIELDS.items()],
         text_of(F.col("unite")).alias("u"),
         text_of(F.when(caption.isNotNull(), F.regexp_extract(caption, CAPTION_UNIT, 1))).alias("t"),
-        *[caption_column(caption, F.col("annee") - i).alias(f"t{i}") for i in FIELDS.values()],
+        *[caption_column(caption, F.col("annee") - i, i).alias(f"t{i}") for i in FIELDS.values()],
     )
 
 
