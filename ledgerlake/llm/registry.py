@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, survivor
+from ledgerlake.llm import bpe, labels, survivor
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": survivor.p2_found,
         "p2_survivors": survivor.p2_survivors,
         "p2_consensus": survivor.p2_consensus,
+        "p4_found": labels.p4_found,
+        "p4_labels": labels.p4_labels,
         "p6_ids": bpe.p6_ids,
     }
 
