@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, labels, survivor
+from ledgerlake.llm import bpe, labels, mixing, pii, survivor
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": labels.p4_found,
         "p4_labels": labels.p4_labels,
         "p6_ids": bpe.p6_ids,
+        "p7_mix": mixing.p7_mix,
+        "p7_shares": mixing.p7_shares,
+        "p8_found": pii.p8_found,
+        "p8_redacted": pii.p8_redacted,
     }
 
 
