@@ -7,13 +7,14 @@ the labelled rows by AdaGrad on padded batches; decoding is Viterbi on padded ba
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import numpy as np
 import regex
 
 #: Tokens: plain e-mail addresses, words and numbers with inner signs, line breaks, single other characters.
-TOKEN = regex.compile(r"[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+|[^\W_]+(?:[.\-_+][^\W_]+)*|\n+|\S")
+TOKEN = re.compile(r"[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+|[^\W_]+(?:[.\-_+][^\W_]+)*|\n+|\S")
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 BUCKETS = 1 << 15
 #: Distinct tokens whose scores a worker keeps; beyond, it starts afresh, which changes no result.
@@ -21,20 +22,15 @@ TYPES_KEPT = 120_000
 _DIGITS = {**{ord(c): "9" for c in "0123456789"}, **{ord(c): "9" for c in "٠١٢٣٤٥٦٧٨٩"}}
 
 
-def key_of(token: str, gap: str) -> str:
-    """What is the same for all features: digits count as nine; the blank before the token belongs to it."""
-    return gap + token.translate(_DIGITS)
-
-
 def tokens(text: str) -> tuple[list[str], list[int], list[int]]:
-    """(keys, starts, ends) of the tokens of a text."""
-    keys, starts, ends, last = [], [], [], 0
-    for m in TOKEN.finditer(text):
-        s, e = m.span()
-        keys.append(key_of(m.group(), " " if s > last else "_"))
-        starts.append(s)
-        ends.append(e)
-        last = e
+    """(keys, starts, ends) of the tokens of a text.
+
+    A key is what is the same for all features: digits count as nine, and the blank before the token belongs to it.
+    """
+    flat = text.translate(_DIGITS)
+    spans = [m.span() for m in TOKEN.finditer(flat)]
+    starts, ends = [s for s, _ in spans], [e for _, e in spans]
+    keys = [(" " if s > last else "_") + flat[s:e] for s, e, last in zip(starts, ends, [0, *ends])]
     return keys, starts, ends
 
 
