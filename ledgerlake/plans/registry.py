@@ -1,14 +1,9 @@
-"""Names of the core queries and, where SQL can express them, the SQL that must give the same rows."""
+"""All core queries by name and, where SQL can express them, the SQL that must give the same rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-from ledgerlake.plans import copies, quality, units
-
-Query = Callable[[SparkSession, str], DataFrame]
+from ledgerlake.plans import checks, copies, quality, units  # noqa: F401
+from ledgerlake.plans.catalog import ORACLES, QUERIES, Query
 
 
 def queries() -> dict[str, Query]:
@@ -19,8 +14,9 @@ def queries() -> dict[str, Query]:
         "p3_differences": copies.differences,
         "p5_found": quality.p5_found,
         "p5_profile": quality.p5_profile,
+        **QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
