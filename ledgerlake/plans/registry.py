@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.plans import checks, copies, quality, units  # noqa: F401
+from ledgerlake.plans import checks, collection, copies, quality, units  # noqa: F401
 from ledgerlake.plans.catalog import ORACLES, QUERIES, Query
 
 
