@@ -9,7 +9,7 @@ from ledgerlake.functions.companies import resolve_company
 from ledgerlake.functions.parse import BLANK, DASH, amount_text
 from ledgerlake.operators.aliases import alias_dictionary
 from ledgerlake.plans.quality import accounts
-from ledgerlake.session import broadcast_if_small, cut
+from ledgerlake.session import broadcast_if_small, cut, written
 from ledgerlake.sources.tables import table
 
 #: Units and the ways they are written, folded and in lower case.
@@ -153,7 +153,8 @@ def table_units(spark: SparkSession, folder: str, silent: DataFrame) -> DataFram
 
 def resolved(spark: SparkSession, folder: str) -> DataFrame:
     """(field_id, champ, an, texte, unite): every cell that holds a number, with its unit."""
-    each = cells(with_units(stated(spark, folder)))
+    # read apart once: the cells are needed for the dictionary, for the votes and for the result
+    each = cells(with_units(written(stated(spark, folder))))
     silent = each.where("unite is null")
     guessed = table_units(spark, folder, silent).withColumnRenamed("unite", "devine")
     known = each.where("unite is not null").select("field_id", "champ", "an", "texte", "unite")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a table in the shared folder: compressed and by column, where a checkpoint would hold rows
+    as they are. The table goes when the session's driver ends."""
+    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # noqa: BLE001  the session may be gone, and its folder with it
+        pass
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True if ``df`` has at most ``rows`` rows; reads no more than it needs to tell."""
     return df.limit(rows + 1).count() <= rows
