@@ -16,7 +16,7 @@ from ledgerlake.functions.text import fold
 #: Length of the n-grams and least share of an alias's n-grams a spelling must hold to be compared.
 GRAM, LEAST_SHARED = 2, 0.3
 #: Largest weighted distance per letter of the alias, and least distance by which the best entry must lead.
-ACCEPT, MARGIN = 0.25, 0.15
+ACCEPT, MARGIN = 0.25, 0.05
 #: Weights of an edit by the kind of character: blanks and points hardly matter, vowels and endings little, digits,
 #: scale letters and currency signs decide.
 LIGHT, VOWEL, LETTER, HEAVY = 0.05, 0.5, 1.0, 3.0
@@ -43,8 +43,11 @@ def _weight(c: str, heavy: str) -> float:
     return VOWEL if c in "aeiouys" else LETTER
 
 
-def weighted_distance(a: str, b: str, heavy: str = "kgc$€^") -> float:
-    """Edit distance whose costs follow the characters; a swap of kinds costs the dearer of both."""
+def weighted_distance(a: str, b: str, heavy: str = "$€^") -> float:
+    """Edit distance whose costs follow the characters; a swap of kinds costs the dearer of both. In spellings of up to
+    five letters, where nothing else tells the scale, its letters weigh most."""
+    if min(len(a), len(b)) <= 5:
+        heavy += "kgcm"
     row = [0.0]
     for c in b:
         row.append(row[-1] + _weight(c, heavy))

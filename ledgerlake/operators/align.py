@@ -177,7 +177,7 @@ def split_tables(lines: DataFrame, expected: dict[str, list[str]]) -> DataFrame:
         rows = [(r.label or "", [r.courant or "", r.precedent or ""]) for r in pdf.itertuples()]
         names = expected.get(key[1], [])
         done = [x[:3] for x in split_income(rows, names)] if key[1] == "CPC" else split_fused(rows, names)
-        return pd.DataFrame({"table": key[0], "section": key[1], "ordre": range(len(done)), "label": [d[0] for d in done], "courant": [d[1][0] for d in done], "precedent": [d[1][1] for d in done], "drapeau": [d[2] for d in done]})
+        return pd.DataFrame({"table": [key[0]] * len(done), "section": [key[1]] * len(done), "ordre": range(len(done)), "label": [d[0] for d in done], "courant": [d[1][0] for d in done], "precedent": [d[1][1] for d in done], "drapeau": [d[2] for d in done]})
 
     return lines.groupBy("table", "section").applyInPandas(run, "table bigint, section string, ordre int, label string, courant string, precedent string, drapeau string")
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Keys per bucket, and cells per key: three hash places a key, decodable up to about 0.8 differing elements a cell.
+#: Keys per bucket, and cells per key: three hash places a key, decodable up to about 0.8 differing elements a cell; a changed row is two elements.
 BUCKET_KEYS, CELLS_PER_KEY, PLACES = 1024, 0.75, 3
 
 
@@ -36,10 +36,10 @@ def lookup_cells(elements: DataFrame, buckets: int, cells: int) -> DataFrame:
     Rows of a bucket are combined before the shuffle, so a hot bucket moves at most its cells.
     """
     part = cells // PLACES
-    places = F.array(*[(F.pmod(F.xxhash64("k", F.lit(i).cast("long")), F.lit(part)) + F.lit(i * part)).cast("int") for i in range(PLACES)])
-    spread = elements.select(
-        bucket_of(buckets).alias("bucket"), "k", "h", "sign", F.xxhash64("k", "h").alias("c"), F.explode(places).alias("cell")
-    )
+    # an element's places follow its check word, so the two versions of a changed row fall on cells of their own
+    places = F.array(*[(F.pmod(F.xxhash64("c", F.lit(i).cast("long")), F.lit(part)) + F.lit(i * part)).cast("int") for i in range(PLACES)])
+    checked = elements.select(bucket_of(buckets).alias("bucket"), "k", "h", "sign", F.xxhash64("k", "h").alias("c"))
+    spread = checked.select("*", F.explode(places).alias("cell"))
     table = spread.groupBy("bucket", "cell").agg(F.sum("sign").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"), F.bit_xor("c").alias("c"))
     return table.where("n <> 0 or k <> 0 or h <> 0 or c <> 0")
 
@@ -62,7 +62,7 @@ def peel(cells: int) -> object:
                 continue
             n, k, h, c = w
             found.append(k)
-            for other in places_of(k, part):
+            for other in places_of(c, part):
                 x = words.setdefault(other, [0, 0, 0, 0])
                 x[0] -= n
                 x[1] ^= k
@@ -86,9 +86,9 @@ def _xx(*words: int) -> int:
     return seed - (1 << 64) if seed >> 63 else seed
 
 
-def places_of(k: int, part: int) -> list[int]:
-    """The cells of key hash ``k``; equals the expression in ``lookup_cells``."""
-    return [_xx(k, i) % part + i * part for i in range(PLACES)]
+def places_of(c: int, part: int) -> list[int]:
+    """The cells of check word ``c``; equals the expression in ``lookup_cells``."""
+    return [_xx(c, i) % part + i * part for i in range(PLACES)]
 
 
 def differing_keys(left: DataFrame, right: DataFrame, rows: int) -> DataFrame:

@@ -185,6 +185,6 @@ def read_pages(words: DataFrame, parser) -> DataFrame:
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         kept = pdf.dropna(subset=["left", "top", "width", "height", "text"]).sort_values(["top", "left"], kind="stable")
         found = parser(kept.to_dict("records"))
-        return pd.DataFrame({"page": key[0], "champ": list(found), "valeur": [float(v) for v in found.values()]})
+        return pd.DataFrame({"page": [key[0]] * len(found), "champ": list(found), "valeur": [float(v) for v in found.values()]}).astype({"page": object, "champ": object})
 
     return words.groupBy("page").applyInPandas(run, "page string, champ string, valeur double")

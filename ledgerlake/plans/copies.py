@@ -24,7 +24,7 @@ def codes_compared(spark: SparkSession, folder: str) -> dict[str, str]:
     seen = table(spark, folder, "data_verification", "code_cifen").select(F.lower(F.trim("code_cifen")).alias("c")).distinct()
     catalogue = table(spark, folder, "champs_cifen", "code").distinct()
     found = catalogue.join(seen, F.lower("code") == F.col("c"), "left_semi").collect()
-    return {r.code.lower(): r.code for r in sorted(found)}
+    return {code.lower(): code for code in sorted(r.code for r in found)}
 
 
 def year_bounds(spark: SparkSession, folder: str) -> Column:
@@ -40,9 +40,10 @@ def wide_copy(spark: SparkSession, folder: str, codes: list[str]) -> DataFrame:
     """(nom, annee, vals map code -> value): the latest row of each company and year that takes part."""
     df = table(spark, folder, "data_cifen", "row_id", "entreprise", "annee", "maj_le", *codes).where(year_bounds(spark, folder))
     named = resolve_company(df, "entreprise", table(spark, folder, "emetteurs", "nom", "ticker")).where("nom is not null")
-    latest = named.groupBy("nom", "annee").agg(F.max_by(F.struct(*codes), F.struct(F.col("maj_le"), F.col("row_id"))).alias("v"))
+    latest = named.groupBy("nom", "annee").agg(F.max_by(F.struct(F.lit(1).alias("__one"), *codes), F.struct(F.col("maj_le"), F.col("row_id"))).alias("v"))
     pairs = [F.struct(F.lit(c).alias("code"), F.nanvl(F.col(f"v.{c}"), F.lit(None).cast("double")).alias("value")) for c in codes]
-    return latest.select("nom", "annee", F.filter(F.array(*pairs), lambda p: p["value"].isNotNull()).alias("vals"))
+    every = F.array(*pairs) if pairs else F.expr("cast(array() as array<struct<code:string,value:double>>)")
+    return latest.select("nom", "annee", F.filter(every, lambda p: p["value"].isNotNull()).alias("vals"))
 
 
 def long_copy(spark: SparkSession, folder: str) -> DataFrame:

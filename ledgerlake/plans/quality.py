@@ -17,7 +17,7 @@ KEY_COLUMNS = ["entreprise", "annee"]
 def accounts(spark: SparkSession, folder: str) -> list[str]:
     """The account columns in catalogue order; the fixed catalogue bounds the list."""
     present = set(table(spark, folder, "data_cifen").columns)
-    rows = table(spark, folder, "champs_cifen", "section", "pos", "code").collect()
+    rows = table(spark, folder, "champs_cifen", "section", "pos", "code").na.drop().collect()
     return [c for c in dict.fromkeys(r.code.lower() for r in sorted(rows, key=lambda r: (r.section, r.pos))) if c in present]
 
 
@@ -35,7 +35,7 @@ def unpivoted(df: DataFrame, columns: list[str], value) -> DataFrame:
 def expectations(spark: SparkSession, folder: str, present: set[str]) -> list[tuple[str, str, Column]]:
     """(column, finding, violated) of each expectation on a column that exists; one row a column, so few."""
     out = []
-    for r in sorted(table(spark, folder, "profil_attendu").collect(), key=lambda r: r.colonne):
+    for r in sorted(table(spark, folder, "profil_attendu").where("colonne is not null").collect(), key=lambda r: r.colonne):
         c = r.colonne.lower()
         if c not in present:
             continue

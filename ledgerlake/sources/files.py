@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 #: Texts that a string-typed merge reads as missing.
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
-PAGE_COUNTS = MapType(StringType(), MapType(StringType(), StructType.fromDDL("file string, pages int, full_path string")))
-LARGE_LIST = StructType([StructField("seuil", StringType()), StructField("rapports_volumineux", MapType(StringType(), ArrayType(StructType.fromDDL("annee string, pages int, fichier string"))))])
+PAGE_COUNTS = "map<string,map<string,struct<file:string,pages:int,full_path:string>>>"
+LARGE_REPORTS = "map<string,array<struct<annee:string,pages:int,fichier:string>>>"
 
 
 def read_table(spark: SparkSession, path: str, sep: str = ";", **options: str) -> DataFrame:
@@ -42,8 +41,8 @@ def read_page_counts(spark: SparkSession, path: str) -> DataFrame:
 def read_large_list(spark: SparkSession, path: str) -> DataFrame:
     """(entreprise, annee, pages, fichier) of the list of large reports, with or without its frame."""
     text = spark.read.text(path, wholetext=True)
-    framed = F.from_json("value", LARGE_LIST)["rapports_volumineux"]
-    bare = F.from_json("value", LARGE_LIST["rapports_volumineux"].dataType)
+    framed = F.from_json("value", f"struct<rapports_volumineux:{LARGE_REPORTS}>")["rapports_volumineux"]
+    bare = F.from_json("value", LARGE_REPORTS)
     return text.select(F.explode(F.coalesce(framed, bare)).alias("entreprise", "liste")).select("entreprise", F.inline("liste")).withColumn("annee", F.col("annee").try_cast("int"))
 
 
@@ -85,7 +84,7 @@ def pdf_links(html: Column, base: str) -> Column:
     urls, titles = (F.regexp_extract_all(html, F.lit(pattern), F.lit(i)) for i in (1, 2))
     pairs = F.arrays_zip(urls.alias("u"), titles.alias("t"))
     clean = F.transform(pairs, lambda p: F.struct(
-        F.when(p["u"].rlike(r"^https?://"), p["u"]).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.ltrim(F.lit("/"), p["u"]))).alias("url"),
+        F.when(p["u"].rlike(r"^https?://"), p["u"]).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(p["u"], "^/+", ""))).alias("url"),
         F.trim(F.regexp_replace(F.regexp_replace(p["t"], r"<[^>]+>", " "), r"\s+", " ")).alias("titre"),
     ))
     return F.filter(clean, lambda p: p["titre"] != "")
