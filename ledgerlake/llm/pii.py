@@ -95,6 +95,10 @@ def trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int]:
     """A piece without punctuation that its kind doesn't end or begin with."""
     while b > a and (text[b - 1].isspace() or text[b - 1] in ",;:/-–" or (text[b - 1] == "." and kind != "NAME")):
         b -= 1
+    if kind == "NAME" and re.search(r"[^\W\d_]{2}\.$", text[a:b]):
+        b -= 1  # the point ends the sentence unless it follows an initial
+    if kind == "EMAIL" and (rest := re.match(r"(?: ?\.[A-Za-z]{2,})+\b", text[b : b + 40])):
+        b += rest.end()  # a domain goes on behind a blank before its point
     while a < b and (text[a].isspace() or text[a] in ",;:/-–."):
         a += 1
     return a, b
