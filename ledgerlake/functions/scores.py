@@ -127,3 +127,30 @@ def nearest_word(text: Column, vocabulary: list[str], most: float = 0.25) -> Col
     """Nearest entry of a closed vocabulary by edit distance, if within ``most`` of the text's length, else null."""
     best = F.array_min(F.array(*[F.struct(F.levenshtein(text, F.lit(v)).alias("d"), F.lit(i).alias("i"), F.lit(v).alias("v")) for i, v in enumerate(vocabulary)]))
     return F.when(best["d"] / F.greatest(F.length(text), F.lit(1)) <= most, best["v"])
+
+
+#: Phrases of the sections a complete balance sheet shows, and its total.
+BALANCE_GROUPS = {"immobilise": ["actif immobilise", "immobilisations"], "circulant": ["stocks", "creances clients"], "tresorerie": ["tresorerie"]}
+BALANCE_TOTAL = "total de l actif"
+#: Words any page of sound text holds; fewer than three mean that letters were read wrongly.
+COMMON_WORDS = ["exercice", "dirhams", "societe", "comptes", "resultat"]
+
+
+def balance_complete(text: Column) -> Column:
+    """The total, or every section by one of its phrases."""
+    every = F.lit(True)
+    for phrases in BALANCE_GROUPS.values():
+        every = every & (count_of(text, phrases) >= 1)
+    return text.contains(BALANCE_TOTAL) | every
+
+
+def variant(text: Column) -> Column:
+    """``consolide`` if it has more markers than ``social``, ``social`` if it has any, else ``indetermine``."""
+    consolidated, social = count_of(text, STRONG_MARKERS + WEAK_MARKERS), count_of(text, ["comptes sociaux", "social", "sociaux"])
+    return F.when(consolidated > social, "consolide").when(social > 0, "social").otherwise("indetermine")
+
+
+def identifiers(text: Column) -> Column:
+    """Struct of the numbers a passage states of a company: register, tax and common identifier, null where absent."""
+    field = lambda pattern: F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return F.struct(field(r"\bRC (\d{3,8})\b").alias("rc"), field(r"\bIF (\d{3,15})\b").alias("if"), field(r"\bICE (\d{9,20})\b").alias("ice"))

@@ -72,3 +72,12 @@ def contained_names(asked: DataFrame, known: DataFrame) -> DataFrame:
     inside = a.withColumn("g", head(F.col("ca"))).join(b.select("*", F.explode(grams(F.col("cb"))).alias("g")), "g").where(F.col("cb").contains(F.col("ca")))
     around = a.select("*", F.explode(grams(F.col("ca"))).alias("g")).join(b.withColumn("g", head(F.col("cb"))), "g").where(F.col("ca").contains(F.col("cb")))
     return inside.unionByName(around.select(inside.columns)).select("nom", F.col("ca").alias("cle"), "trouve", F.col("cb").alias("cle_trouve"), "ordre").distinct()
+
+
+def longest_run(df: DataFrame, key: str, position: str, gap: int = 2) -> DataFrame:
+    """(key, debut, fin, n): longest run of positions with steps of at most ``gap``; the first of equally long ones."""
+    order = Window.partitionBy(key).orderBy(position)
+    begins = (F.col(position) - F.lag(position).over(order) > gap).cast("int")
+    runs = df.select(key, position, F.coalesce(begins, F.lit(0)).alias("b")).withColumn("run", F.sum("b").over(order))
+    sizes = runs.groupBy(key, "run").agg(F.min(position).alias("debut"), F.max(position).alias("fin"), F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy(key).agg(F.max_by(F.struct("debut", "fin", "n"), F.struct(F.col("n"), -F.col("debut"))).alias("r")).select(key, "r.*")

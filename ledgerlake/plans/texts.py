@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import scores as K
 from ledgerlake.functions import text as T
+from ledgerlake.operators import select as S
 from ledgerlake.plans.catalog import query
 from ledgerlake.sources.tables import table
 
@@ -241,3 +242,59 @@ def dates_in_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Dates of the texts in one notation."""
     found = documents(spark, folder, "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}"), F.lit(0))).alias("trouve"))
     return found.distinct().select("doc_id", "trouve", K.extract_date(F.col("trouve")).alias("date")).where("date is not null")
+
+
+@query(f"""
+WITH d AS ({SQL_NORM}) SELECT doc_id, contains(n, '{K.BALANCE_TOTAL}') OR ({" AND ".join(f"{sql_count(p)} >= 1" for p in K.BALANCE_GROUPS.values())}) AS complet,
+  CASE WHEN {sql_count(K.STRONG_MARKERS + K.WEAK_MARKERS)} > {sql_count(["comptes sociaux", "social", "sociaux"])} THEN 'consolide' WHEN {sql_count(["comptes sociaux", "social", "sociaux"])} > 0 THEN 'social' ELSE 'indetermine' END AS variante,
+  {sql_count(K.COMMON_WORDS)} < 3 AS suspect FROM d""")
+def page_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Completeness of a balance sheet, variant of the accounts, and whether the letters look misread."""
+    d = documents(spark, folder, "text").where("text is not null").select("doc_id", T.norm_words(F.col("text")).alias("n"))
+    n = F.col("n")
+    return d.select("doc_id", K.balance_complete(n).alias("complet"), K.variant(n).alias("variante"), (K.count_of(n, K.COMMON_WORDS) < 3).alias("suspect"))
+
+
+@query(f"""
+WITH {SQL_BLOCKS}, s AS (SELECT doc_id, bloc, {sql_score(K.CATEGORIES['bilan_actif'])}::INTEGER + CASE WHEN contains(n, 'total de l actif') AND contains(n, 'total du passif') THEN 40 ELSE 0 END AS score, contains(n, 'consolid') AS conso FROM blocks),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY conso, score DESC, bloc) AS r FROM s WHERE score > 0)
+SELECT doc_id, bloc, score FROM r WHERE r = 1""")
+def best_page(spark: SparkSession, folder: str) -> DataFrame:
+    """Best block of each document, with a bonus where both totals stand; blocks of the wanted variant first, any other only if there is none."""
+    n = F.col("n")
+    bonus = F.when(n.contains("total de l actif") & n.contains("total du passif"), 40).otherwise(0)
+    scored = blocks(spark, folder).select("doc_id", "bloc", (K.weighted_score(n, K.CATEGORIES["bilan_actif"]) + bonus).alias("score"), n.contains("consolid").alias("conso")).where("score > 0")
+    best = scored.groupBy("doc_id").agg(F.min(F.struct("conso", (-F.col("score")).alias("s"), "bloc")).alias("b"))
+    return best.select("doc_id", "b.bloc", (-F.col("b.s")).alias("score"))
+
+
+@query(f"""
+WITH {SQL_BLOCKS}, t AS (SELECT doc_id, bloc FROM blocks WHERE regexp_matches(n, '[0-9]')),
+g AS (SELECT *, CASE WHEN bloc - lag(bloc) OVER (PARTITION BY doc_id ORDER BY bloc) > 2 THEN 1 ELSE 0 END AS b FROM t), h AS (SELECT *, sum(b) OVER (PARTITION BY doc_id ORDER BY bloc) AS run FROM g),
+s AS (SELECT doc_id, run, min(bloc) AS debut, max(bloc) AS fin, count(*) AS n FROM h GROUP BY ALL)
+SELECT doc_id, debut, fin, n FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, debut) = 1""")
+def longest_block_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Longest run of blocks with numbers, gaps of one block allowed."""
+    return S.longest_run(blocks(spark, folder).where(F.col("n").rlike("[0-9]")).select("doc_id", "bloc"), "doc_id", "bloc")
+
+
+@query(r"""
+SELECT doc_id, nullif(regexp_extract(text, '\bRC (\d{3,8})\b', 1), '') AS rc, nullif(regexp_extract(text, '\bIF (\d{3,15})\b', 1), '') AS if, nullif(regexp_extract(text, '\bICE (\d{9,20})\b', 1), '') AS ice
+FROM documents WHERE regexp_matches(text, '\bICE \d{9,20}\b')""")
+def company_identifiers(spark: SparkSession, folder: str) -> DataFrame:
+    """Identifiers of companies stated in the texts."""
+    return documents(spark, folder, "text").where(F.col("text").rlike(r"\bICE \d{9,20}\b")).select("doc_id", K.identifiers(F.col("text")).alias("i")).select("doc_id", "i.*")
+
+
+@query(f"""
+WITH n AS (SELECT doc_id, entreprise, annee, {sq('text')} AS n FROM documents WHERE text IS NOT NULL AND entreprise IS NOT NULL AND annee IS NOT NULL),
+w AS (SELECT unnest(['total du passif', 'capitaux propres', 'chiffre d affaires']) AS libelle), lacks AS (SELECT n.doc_id, n.entreprise, n.annee, w.libelle FROM n CROSS JOIN w WHERE NOT contains(n.n, w.libelle))
+SELECT l.doc_id, l.libelle, min(o.doc_id) AS trouve_dans FROM lacks l JOIN n o ON l.entreprise = o.entreprise AND l.annee = o.annee AND contains(o.n, l.libelle) GROUP BY ALL""")
+def missing_field_recovery(spark: SparkSession, folder: str) -> DataFrame:
+    """For each label a document lacks, the first document of the same company and year that holds it: one row for each
+    company, year and label is found first, so that no document meets another."""
+    wanted = ["total du passif", "capitaux propres", "chiffre d affaires"]
+    docs = documents(spark, folder, "entreprise", "annee", "text").where("text is not null and entreprise is not null and annee is not null").withColumn("n", T.norm_words(F.col("text")))
+    each = docs.select("doc_id", "entreprise", "annee", F.inline(F.array(*[F.struct(F.lit(p).alias("libelle"), F.col("n").contains(p).alias("la")) for p in wanted])))
+    holders = each.where("la").groupBy("entreprise", "annee", "libelle").agg(F.min("doc_id").alias("trouve_dans"))
+    return each.where("not la").join(holders, ["entreprise", "annee", "libelle"]).select("doc_id", "libelle", "trouve_dans")
