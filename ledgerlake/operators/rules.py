@@ -59,25 +59,52 @@ def active_rules(rules: list[Rule], columns: list[str]) -> list[Rule]:
     return [r for r in rules if {r[0].lower(), *(p.lower() for p in r[2])} <= known]
 
 
-def evaluated(facts: DataFrame, rules: list[Rule], tolerance: float, keys: list[str]) -> DataFrame:
-    """(keys, regle, evaluable, ok): one row for each row and rule.
+def conditions(rules: list[Rule], columns: list[str], tolerance: float) -> list[tuple[str, Column, Column]]:
+    """(rule, evaluable, ok) of each active rule as column expressions.
 
-    Blank parts count as nothing; a blank total makes the rule not evaluable, and ``ok`` is then null. The sums are
-    plain column expressions, so the rows never leave the scan stage before they are aggregated.
+    Blank parts count as nothing; a blank total makes the rule not evaluable, and ``ok`` is then null.
     """
-    checks = []
-    for total, sign, parts in active_rules(rules, facts.columns):
+    out = []
+    for total, sign, parts in active_rules(rules, columns):
         value = F.coalesce(F.col(parts[0].lower()), F.lit(0.0))
         for p in parts[1:]:
             part = F.coalesce(F.col(p.lower()), F.lit(0.0))
             value = value + part if sign > 0 else value - part
         target = F.col(total.lower())
-        checks.append(F.struct(F.lit(total).alias("regle"), target.isNotNull().alias("evaluable"), (F.abs(target - value) <= tolerance).alias("ok")))
+        out.append((total, target.isNotNull(), F.abs(target - value) <= tolerance))
+    return out
+
+
+def evaluated(facts: DataFrame, rules: list[Rule], tolerance: float, keys: list[str]) -> DataFrame:
+    """(keys, regle, evaluable, ok): one row for each row and rule."""
+    checks = [F.struct(F.lit(rule).alias("regle"), can.alias("evaluable"), ok.alias("ok")) for rule, can, ok in conditions(rules, facts.columns, tolerance)]
     if not checks:
         return facts.select(*keys, F.lit("").alias("regle"), F.lit(False).alias("evaluable"), F.lit(True).alias("ok")).where("false")
     return facts.select(*keys, F.inline(F.array(*checks)))
 
 
+def rule_counts(facts: DataFrame, rules: list[Rule], tolerance: float) -> DataFrame:
+    """(regle, n_total, n_evaluables, n_ok): counted in one row of conditional counts, so no row is multiplied by the rules."""
+    checks = conditions(rules, facts.columns, tolerance)
+    counts = [x for i, (_, can, ok) in enumerate(checks) for x in (F.count(F.when(can, 1)).alias(f"e{i}"), F.count(F.when(ok, 1)).alias(f"o{i}"))]
+    one = facts.agg(F.count(F.lit(1)).alias("n_total"), *counts)
+    rows = [F.struct(F.lit(rule).alias("regle"), F.col("n_total"), F.col(f"e{i}").alias("n_evaluables"), F.col(f"o{i}").alias("n_ok")) for i, (rule, _, _) in enumerate(checks)]
+    return one.select(F.inline(F.array(*rows)))
+
+
+def broken(facts: DataFrame, rules: list[Rule], tolerance: float, keys: list[str]) -> DataFrame:
+    """(keys, regle): one row for each broken rule of a row; rows without anomaly leave the scan stage as nothing."""
+    names = F.array_compact(F.array(*[F.when(~ok, F.lit(rule)) for rule, _, ok in conditions(rules, facts.columns, tolerance)]))
+    return facts.select(*keys, F.explode(names).alias("regle"))
+
+
+def row_counts(rules: list[Rule], columns: list[str], tolerance: float) -> tuple[Column, Column]:
+    """How many rules of a row are evaluable, and how many hold."""
+    checks = conditions(rules, columns, tolerance)
+    total = lambda xs: F.aggregate(F.array(*[F.coalesce(x, F.lit(False)) for x in xs]), F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))
+    return total([can for _, can, _ in checks]), total([ok for _, _, ok in checks])
+
+
 def percent(part: Column, whole: Column) -> Column:
     """Share in percent with two decimals, ties to even, null where ``whole`` is 0; exact on integers."""
     scaled, w = part.cast("bigint") * 10000, F.nullif(whole.cast("bigint"), F.lit(0).cast("bigint"))
@@ -87,18 +114,6 @@ def percent(part: Column, whole: Column) -> Column:
     return (exact + up.cast("bigint")) / 100.0
 
 
-def coverage(checks: DataFrame, by: list[str]) -> DataFrame:
-    """(by, n_total, n_evaluables, n_ok, taux_pct)."""
-    counts = checks.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_total"), F.count(F.when(F.col("evaluable"), 1)).alias("n_evaluables"), F.count(F.when(F.col("ok"), 1)).alias("n_ok")
-    )
-    return counts.withColumn("taux_pct", percent(F.col("n_ok"), F.col("n_evaluables")))
-
-
-def anomalies(checks: DataFrame) -> DataFrame:
-    return checks.where("evaluable and not ok")
-
-
 def stability(series: DataFrame, entity: str, year: str, value: str, ratio: float = 3.0) -> DataFrame:
     """Consecutive available years of an indicator whose ratio leaves [1/ratio, ratio]; gaps are bridged.
 

@@ -26,9 +26,15 @@ def rule_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c in used]
 
 
-def checked(spark: SparkSession, folder: str, *keys: str) -> DataFrame:
+def rule_facts(spark: SparkSession, folder: str, *keys: str) -> DataFrame:
     df = table(spark, folder, "data_cifen")
-    return R.evaluated(nan_to_null(df.select(*keys, *rule_columns(df))), RULES, R.TOLERANCE, list(keys))
+    return nan_to_null(df.select(*keys, *rule_columns(df)))
+
+
+def anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """(entreprise, annee, regle) of broken rules; rows without a key are no group."""
+    keyed = rule_facts(spark, folder, "entreprise", "annee").where("entreprise is not null and annee is not null")
+    return R.broken(keyed, RULES, R.TOLERANCE, ["entreprise", "annee"])
 
 
 def sql_value(sign: int, parts: list[str]) -> str:
@@ -53,7 +59,7 @@ c AS (SELECT regle, count(*) AS n_total, count(*) FILTER (evaluable) AS n_evalua
 SELECT regle, n_total, n_evaluables, n_ok, {sql_pct('n_ok', 'n_evaluables')} AS taux_pct FROM c""")
 def rule_coverage(spark: SparkSession, folder: str) -> DataFrame:
     """How often each identity can be evaluated and holds."""
-    return R.coverage(checked(spark, folder), ["regle"])
+    return R.rule_counts(rule_facts(spark, folder), RULES, R.TOLERANCE).withColumn("taux_pct", R.percent(F.col("n_ok"), F.col("n_evaluables")))
 
 
 @query(f"""
@@ -62,7 +68,7 @@ SELECT entreprise, annee, count(*) AS n_anomalies, string_agg(DISTINCT regle, ';
 FROM checks WHERE evaluable AND NOT ok AND entreprise IS NOT NULL AND annee IS NOT NULL GROUP BY entreprise, annee""")
 def rule_anomalies_by_entity_year(spark: SparkSession, folder: str) -> DataFrame:
     """Broken identities of each company and year; rows without a key are no group."""
-    bad = R.anomalies(checked(spark, folder, "entreprise", "annee")).where("entreprise is not null and annee is not null")
+    bad = anomalies(spark, folder)
     return bad.groupBy("entreprise", "annee").agg(F.count(F.lit(1)).alias("n_anomalies"), F.array_join(F.array_sort(F.collect_set("regle")), "; ").alias("regles"))
 
 
@@ -76,7 +82,7 @@ SELECT a.entreprise, annees, coalesce(annees_touchees, 0) AS annees_touchees, co
 FROM a LEFT JOIN bad USING (entreprise)""")
 def rule_anomalies_by_entity(spark: SparkSession, folder: str) -> DataFrame:
     """The same by company; companies without anomaly appear with zeros, the worst first."""
-    bad = R.anomalies(checked(spark, folder, "entreprise", "annee")).where("entreprise is not null and annee is not null")
+    bad = anomalies(spark, folder)
     # distinct years and rules first, so that no group needs its rows in one place
     by_company = bad.groupBy("entreprise").agg(
         F.countDistinct("annee").alias("annees_touchees"), F.count(F.lit(1)).alias("n_anomalies"), F.array_join(F.array_sort(F.collect_set("regle")), "; ").alias("regles")
@@ -98,11 +104,11 @@ def coherence_gross_vs_scope(spark: SparkSession, folder: str) -> DataFrame:
     out = table(spark, folder, "emetteurs").where(F.col("secteur") == OUT_OF_SCOPE).select(F.col("nom").alias("entreprise"), F.lit(True).alias("exclu")).dropDuplicates(["entreprise"])
     df = table(spark, folder, "data_cifen")
     marked = df.select("entreprise", *rule_columns(df)).join(broadcast_if_small(out), "entreprise", "left")
-    checks = R.evaluated(nan_to_null(marked), RULES, R.TOLERANCE, ["exclu"])
+    can, ok = R.row_counts(RULES, marked.columns, R.TOLERANCE)
+    pre = nan_to_null(marked).select("exclu", can.alias("e"), ok.alias("o")).groupBy("exclu").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("e"), F.sum("o").alias("o"))
     scopes = F.when(F.col("exclu"), F.array(F.lit("brut"))).otherwise(F.array(F.lit("brut"), F.lit("perimetre")))
-    pre = checks.groupBy("exclu", "evaluable", "ok").agg(F.count(F.lit(1)).alias("n"))
-    by_scope = pre.select(F.explode(scopes).alias("portee"), "evaluable", "ok", "n").groupBy("portee").agg(
-        F.sum("n").alias("n_total"), F.coalesce(F.sum(F.when(F.col("evaluable"), F.col("n"))), F.lit(0)).alias("n_evaluables"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0)).alias("n_ok")
+    by_scope = pre.select(F.explode(scopes).alias("portee"), "n", "e", "o").groupBy("portee").agg(
+        (F.sum("n") * len(R.active_rules(RULES, df.columns))).alias("n_total"), F.sum("e").alias("n_evaluables"), F.sum("o").alias("n_ok")
     )
     return by_scope.withColumn("taux_pct", R.percent(F.col("n_ok"), F.col("n_evaluables")))
 
