@@ -19,6 +19,8 @@ OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 BUCKETS = 1 << 15
 #: Distinct tokens whose scores a worker keeps; beyond, it starts afresh, which changes no result.
 TYPES_KEPT = 120_000
+_UPPER, _LOWER = regex.compile(r"\p{Lu}"), regex.compile(r"\p{Ll}")
+_REPEATED, _NUMBER = re.compile(r"(.)\1+"), re.compile(r"[9O.\-]+")
 _DIGITS = {**{ord(c): "9" for c in "0123456789"}, **{ord(c): "9" for c in "٠١٢٣٤٥٦٧٨٩"}}
 
 
@@ -37,10 +39,9 @@ def tokens(text: str) -> tuple[list[str], list[int], list[int]]:
 def features(key: str) -> list[str]:
     gap, word = key[0], key[1:]
     lower = "".join(c for c in unicodedata.normalize("NFKD", word.lower()) if not unicodedata.combining(c))
-    shape = regex.sub(r"\p{Lu}", "X", word)
-    shape = regex.sub(r"\p{Ll}", "x", shape)
-    short = regex.sub(r"(.)\1+", r"\1+", shape)
-    kind = "nl" if word[0] == "\n" else "mail" if "@" in word and len(word) > 1 else "num" if regex.fullmatch(r"[9O.\-]+", word) else "alpha" if word[0].isalpha() else "other"
+    shape = _LOWER.sub("x", _UPPER.sub("X", word))
+    short = _REPEATED.sub(r"\1+", shape)
+    kind = "nl" if word[0] == "\n" else "mail" if "@" in word and len(word) > 1 else "num" if _NUMBER.fullmatch(word) else "alpha" if word[0].isalpha() else "other"
     out = ["1", f"w={lower[:40]}", f"s={short[:12]}", f"k={kind}", f"g={gap}{kind}", f"l={min(len(word), 12)}{kind}"]
     if kind == "alpha":
         out += [f"p2={lower[:2]}", f"p3={lower[:3]}", f"p4={lower[:4]}", f"e2={lower[-2:]}", f"e3={lower[-3:]}", f"e4={lower[-4:]}", f"c={word.isupper()}{word[0].isupper()}", f"i={len(word) == 1 and word.isupper()}"]
@@ -69,6 +70,11 @@ def boundaries(keys: list[str]) -> list[int]:
     return out
 
 
+def summed(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Rows added up by their place."""
+    return np.stack([np.bincount(at, weights=rows[:, c], minlength=size) for c in range(rows.shape[1])], axis=1)
+
+
 class Model:
     """Weights by offset, hashed feature and label, transitions and starts."""
 
@@ -197,15 +203,15 @@ class Model:
                 table[:, 1:] = np.add.reduceat(self.w[:, feats], starts, axis=1)
                 emit = sum(table[i, local[:, 3 + o : 3 + o + t]] for i, o in enumerate(OFFSETS))
                 grad_e, grad_t, grad_s = self.gradient(emit.astype(np.float64), gold, size)
+                names, inverse = np.unique(feats, return_inverse=True)
+                flat_grad = grad_e.reshape(-1, k)
                 for i, o in enumerate(OFFSETS):
-                    by_type = np.zeros((len(used) + 1, k))
-                    np.add.at(by_type, local[:, 3 + o : 3 + o + t].ravel(), grad_e.reshape(-1, k))
-                    names, inverse = np.unique(feats, return_inverse=True)
-                    g_f = np.zeros((len(names), k), np.float32)
-                    np.add.at(g_f, inverse, by_type[own].astype(np.float32))
+                    by_type = summed(local[:, 3 + o : 3 + o + t].ravel(), flat_grad, len(used) + 1)
+                    g_f = summed(inverse, by_type[own], len(names)).astype(np.float32)
                     g_f -= decay * self.w[i, names] * b
-                    gw[i, names] += g_f**2
-                    self.w[i, names] += rate * g_f / np.sqrt(gw[i, names])
+                    squares = gw[i, names] + g_f**2
+                    gw[i, names] = squares
+                    self.w[i, names] += rate * g_f / np.sqrt(squares)
                 gt += grad_t**2
                 gs += grad_s**2
                 self.t += (rate * grad_t / np.sqrt(gt)).astype(np.float32)
