@@ -66,12 +66,10 @@ def conditions(rules: list[Rule], columns: list[str], tolerance: float) -> list[
     """
     out = []
     for total, sign, parts in active_rules(rules, columns):
-        value = F.coalesce(F.col(parts[0].lower()), F.lit(0.0))
-        for p in parts[1:]:
-            part = F.coalesce(F.col(p.lower()), F.lit(0.0))
-            value = value + part if sign > 0 else value - part
-        target = F.col(total.lower())
-        out.append((total, target.isNotNull(), F.abs(target - value) <= tolerance))
+        # SQL text: one call into the JVM for each condition instead of one for each account
+        value = (" + " if sign > 0 else " - ").join(f"coalesce(`{p.lower()}`, 0D)" for p in parts)
+        target = f"`{total.lower()}`"
+        out.append((total, F.expr(f"{target} is not null"), F.expr(f"abs({target} - ({value})) <= {tolerance!r}D")))
     return out
 
 

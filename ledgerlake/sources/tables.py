@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -20,5 +19,4 @@ def keep(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN means missing in every source; Spark would let it compare as the largest number."""
-    floats = [c for c, kind in df.dtypes if kind in ("double", "float")]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
+    return df.selectExpr(*[f"nanvl(`{c}`, cast(null as {kind})) as `{c}`" if kind in ("double", "float") else f"`{c}`" for c, kind in df.dtypes])
