@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.operators.profile import ks_distances, order_statistics, sorted_groups
 from ledgerlake.session import cut
-from ledgerlake.sources.tables import table
+from ledgerlake.sources.tables import nan_to_null, table
 
 #: Thresholds of the findings, as the problem states them.
 NULL_SHIFT, DISTINCT_RATIO, SCALE_RATIO, SCALE_LEAST, SPREAD = 0.25, 2.0, 30.0, 10, 0.5
@@ -60,10 +61,10 @@ def load_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[tuple[s
     return found, [(c, kind) for c, kind, _ in checks]
 
 
-def key_histograms(spark: SparkSession, folder: str) -> DataFrame:
+def key_histograms(spark: SparkSession, folder: str, columns: list[str] = KEY_COLUMNS) -> DataFrame:
     """(charge_id, colonne, valeur, n) of the key columns; equal values are combined before the shuffle."""
-    df = table(spark, folder, "data_cifen", "charge_id", *KEY_COLUMNS)
-    pairs = F.array(*[F.struct(F.lit(c).alias("colonne"), F.col(c).cast("string").alias("valeur")) for c in KEY_COLUMNS])
+    df = table(spark, folder, "data_cifen", *dict.fromkeys(["charge_id", *columns]))
+    pairs = F.array(*[F.struct(F.lit(c).alias("colonne"), F.col(c).cast("string").alias("valeur")) for c in columns])
     return df.select("charge_id", F.inline(pairs)).where("valeur is not null").groupBy("charge_id", "colonne", "valeur").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -91,9 +92,9 @@ def profile_grid(spark: SparkSession, folder: str, probabilities: list[float], v
     return cut(wide.unionByName(keys))
 
 
-def spread(spark: SparkSession, folder: str) -> DataFrame:
+def spread(spark: SparkSession, folder: str, columns: list[str] = KEY_COLUMNS) -> DataFrame:
     """(charge_id, colonne, distance): half the L1 distance between the shares of a key column in a load and the one before."""
-    shares = key_histograms(spark, folder)
+    shares = key_histograms(spark, folder, columns)
     total = shares.groupBy("charge_id", "colonne").agg(F.sum("n").alias("t"))
     shares = shares.join(total, ["charge_id", "colonne"]).select("charge_id", "colonne", "valeur", (F.col("n") / F.col("t")).alias("p"))
     chain = table(spark, folder, "charges", "charge_id", "charge_prec").dropDuplicates(["charge_id"]).where("charge_prec is not null")
@@ -134,26 +135,86 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return findings(spark, folder)
 
 
+#: Quartiles of the profile; those of texts are the first value, by value order, up to which that share of the rows lies.
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def as_number(c: str, kind: T.DataType) -> Column:
+    """A number of the range sort: microseconds of a time, days of a date, whole numbers exact up to 2^53."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    return (F.unix_date(c) if isinstance(kind, T.DateType) else F.col(c)).cast("double")
+
+
+def other_columns(spark: SparkSession, folder: str) -> tuple[dict[str, T.DataType], list[str]]:
+    """The columns beyond the accounts: those with an order of numbers, and the texts (any other kind is read as text)."""
+    known = set(accounts(spark, folder))
+    kinds = {f.name: f.dataType for f in table(spark, folder, "data_cifen").schema if f.name not in known}
+    numbers = {c: k for c, k in kinds.items() if isinstance(k, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))}
+    if len(known) + len(kinds) > 256:
+        raise ValueError("too many columns for the group key")
+    return numbers, [c for c in kinds if c not in numbers]
+
+
+def text_statistics(df: DataFrame, texts: list[str], first: int) -> DataFrame:
+    """(key, n, uniques, lo, hi, q) of the text columns out of their histograms; values are combined before the shuffle."""
+    each = df.select(load_word(F.col("charge_id")).alias("load"), F.posexplode(F.array(*[F.col(c).cast("string") for c in texts])).alias("pos", "v")).where("v is not null")
+    counts = each.groupBy(F.col("load").bitwiseOR((F.col("pos") + first).cast("long")).alias("key"), "v").agg(F.count(F.lit(1)).alias("c"))
+    total = counts.groupBy("key").agg(F.sum("c").alias("n"))
+    upto = F.sum("c").over(Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    q = F.array(*[F.min(F.when(F.col("upto") >= F.col("n") * p, F.col("v"))) for p in QUARTILES])
+    return counts.withColumn("upto", upto).join(total, "key").groupBy("key").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("uniques"), F.min("v").alias("lo"), F.max("v").alias("hi"), q.alias("q"))
+
+
+def violations(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """One row for each load: its rows, and of each expectation how many break it; and the count's name by (column, kind)."""
+    df = nan_to_null(table(spark, folder, "data_cifen"))
+    broken: dict[tuple[str, str], Column] = {}
+    for c, kind, bad in expectations(spark, folder, set(df.columns)):
+        broken[c, kind] = broken[c, kind] | bad if (c, kind) in broken else bad
+    names = {k: f"x{i}" for i, k in enumerate(broken)}
+    return df.groupBy("charge_id").agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(names[k]) for k, bad in broken.items()]), names
+
+
 def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Every column of every load: rows, nulls, distincts, bounds, quartiles, distance to the load before.
+    """Every column of every load: rows, nulls, distincts, range, quartiles, broken expectations, distance to the load before.
 
-    The distance is Kolmogorov-Smirnov's for accounts, half the L1 distance of the shares for the key columns.
+    Ranges and quartiles of numbers and times (seconds since 1970) are in the plain columns, those of texts in the columns
+    ``_texte``. Counts of violations are null where nothing is expected of a column. The distance is Kolmogorov-Smirnov's
+    for numbers, half the L1 distance of the shares for ``annee`` and texts; NaN counts as null.
     """
-    grid = profile_grid(spark, folder, [0.25, 0.5, 0.75], lambda c: c)
     names = accounts(spark, folder)
-    df = table(spark, folder, "data_cifen", "charge_id", *names)
+    kinds, texts = other_columns(spark, folder)
+    measured = [*names, *kinds]
+    source = table(spark, folder, "data_cifen")
+    df = source.select("charge_id", *names, *[as_number(c, k).alias(c) for c, k in kinds.items()])
+    stats = order_statistics(sorted_groups(unpivoted(df, measured, lambda c: c), QUARTILES), QUARTILES)
+    worded = text_statistics(source.select(*texts), texts, len(measured))
+    blank, void = F.lit(None).cast("double"), F.lit(None).cast("string")
+    stats = stats.select("key", "n", "uniques", "lo", "hi", "q", void.alias("lo_t"), void.alias("hi_t"), F.lit(None).cast("array<string>").alias("q_t")).unionByName(
+        worded.select("key", "n", "uniques", blank.alias("lo"), blank.alias("hi"), F.lit(None).cast("array<double>").alias("q"), F.col("lo").alias("lo_t"), F.col("hi").alias("hi_t"), F.col("q").alias("q_t"))
+    )
     chain = table(spark, folder, "charges", "charge_id", "charge_prec").dropDuplicates(["charge_id"]).where("charge_prec is not null")
-    now = unpivoted(df.join(chain.select("charge_id"), "charge_id", "left_semi"), names, lambda c: c).withColumn("old", F.lit(False))
+    now = unpivoted(df.join(chain.select("charge_id"), "charge_id", "left_semi"), measured, lambda c: c).withColumn("old", F.lit(False))
     earlier = df.withColumnRenamed("charge_id", "charge_prec").join(chain, "charge_prec")
-    before = unpivoted(earlier, names, lambda c: c).withColumn("old", F.lit(True))
+    before = unpivoted(earlier, measured, lambda c: c).withColumn("old", F.lit(True))
     ks = ks_distances(sorted_groups(now.unionByName(before), [], two=True))
-    numbers = F.create_map(*[F.lit(x) for i, c in enumerate(names) for x in (c, i)])
-    keyed = grid.withColumn("key", load_word(F.col("charge_id")).bitwiseOR(numbers[F.col("colonne")].cast("long")))
+    loads, broken = violations(spark, folder)
+    count = lambda c, kind: F.col(broken[c, kind]) if (c, kind) in broken else F.lit(None).cast("long")
+    times = [c for c, k in kinds.items() if isinstance(k, (T.TimestampType, T.TimestampNTZType))]
+    each = [
+        F.struct(F.lit(c).alias("colonne"), F.lit(i).alias("pos"), F.lit(1e6 if c in times else 1.0).alias("par"), count(c, "motif").alias("hors_motif"), count(c, "bornes").alias("hors_bornes"))
+        for i, c in enumerate([*measured, *texts])
+    ]
+    grid = loads.select("charge_id", "rows", F.inline(F.array(*each))).withColumn("key", load_word(F.col("charge_id")).bitwiseOR(F.col("pos").cast("long")))
+    rest = F.col("rows") - F.coalesce("n", F.lit(0))
+    number = lambda c: (c / F.col("par"))
     return (
-        keyed.join(ks, "key", "left").join(spread(spark, folder), ["charge_id", "colonne"], "left")
+        grid.join(stats, "key", "left").join(ks, "key", "left").join(spread(spark, folder, ["annee", *texts]), ["charge_id", "colonne"], "left")
         .select(
-            "charge_id", "colonne", F.col("rows").alias("lignes"), (F.col("rows") - F.col("n")).alias("nuls"), ((F.col("rows") - F.col("n")) / F.col("rows")).alias("part_nuls"),
-            F.col("uniques").alias("distincts"), F.col("lo").alias("minimum"), F.get("q", F.lit(0)).alias("q25"), F.get("q", F.lit(1)).alias("mediane"), F.get("q", F.lit(2)).alias("q75"), F.col("hi").alias("maximum"),
-            F.coalesce("ks", "distance").alias("distance_charge_prec"),
+            "charge_id", "colonne", F.col("rows").alias("lignes"), rest.alias("nuls"), (rest / F.col("rows")).alias("part_nuls"), F.coalesce("uniques", F.lit(0)).alias("distincts"),
+            number(F.col("lo")).alias("minimum"), *[number(F.get("q", F.lit(i))).alias(a) for i, a in enumerate(("q25", "mediane", "q75"))], number(F.col("hi")).alias("maximum"),
+            F.col("lo_t").alias("minimum_texte"), *[F.get("q_t", F.lit(i)).alias(f"{a}_texte") for i, a in enumerate(("q25", "mediane", "q75"))], F.col("hi_t").alias("maximum_texte"),
+            "hors_motif", "hors_bornes", F.coalesce("distance", "ks").alias("distance_charge_prec"),
         )
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -170,3 +173,32 @@ def test_units_make_tables_agree_with_the_wide_copy(spark):
     near = amounts.join(fields, "field_id").join(wide, ["entreprise", "annee", "code"]).select("unite", (F.abs(F.log10(F.abs(F.col("dirhams") / F.col("d")))) < 0.3).alias("ok")).toPandas()
     assert len(near) > 100 and near.ok.mean() > 0.9
     assert near[near.unite != "DH"].ok.mean() > 0.85
+
+
+def test_profile_of_every_column_equals_brute_force(spark):
+    """Ranges, quartiles and violations of the columns beyond the accounts, which were blank or missing."""
+    folder = f"{DATA}/sf0.01"
+    c = spark.read.parquet(f"{folder}/data_cifen.parquet").toPandas()
+    expected = spark.read.parquet(f"{folder}/profil_attendu.parquet").toPandas().set_index("colonne")
+    got = registry.queries()["p5_profile"](spark, folder).toPandas().set_index(["charge_id", "colonne"])
+    assert got.index.is_unique and set(got.index) == {(load, x) for load in c.charge_id.unique() for x in c.columns}
+    c["maj_le"] = c.maj_le.astype("datetime64[us]").astype("int64") / 1e6
+    for load, rows in c.groupby("charge_id"):
+        for x in c.columns:
+            r, v = got.loc[load, x], rows[x].dropna()
+            assert (r.lignes, r.nuls, r.distincts) == (len(rows), len(rows) - len(v), v.nunique()), (load, x)
+            if x in ("entreprise", "charge_id"):
+                v = sorted(v, key=lambda t: t.encode())
+                want = [v[max(0, math.ceil(len(v) * p) - 1)] for p in (0, 0.25, 0.5, 0.75, 1)]
+                assert [r.minimum_texte, r.q25_texte, r.mediane_texte, r.q75_texte, r.maximum_texte] == want, (load, x)
+            elif len(v):
+                assert np.allclose([r.minimum, r.q25, r.mediane, r.q75, r.maximum], np.quantile(v, [0, 0.25, 0.5, 0.75, 1]), rtol=1e-12), (load, x)
+            if x not in expected.index:
+                assert np.isnan(r.hors_motif) and np.isnan(r.hors_bornes)
+                continue
+            e = expected.loc[x]
+            if e.motif is not None:
+                assert r.hors_motif == sum(re.search(e.motif, t) is None for t in v), (load, x)
+            if not np.isnan(e.borne_min) or not np.isnan(e.borne_max):
+                assert r.hors_bornes == ((v < e.borne_min) | (v > e.borne_max)).sum(), (load, x)
+    assert got.hors_motif.sum() > 0 and got.hors_bornes.sum() > 0
