@@ -179,3 +179,15 @@ def parse_years(spark: SparkSession, folder: str) -> DataFrame:
     df = table(spark, folder, "data_verification", "ver_id", "annee")
     simple = df.where(F.col("annee").rlike(r"^(FY|Exercice |déc. |[0-9]{2}/[0-9]{2}/)?[0-9]{4}(\.0|-[0-9]{2}-[0-9]{2})?$"))
     return simple.select("ver_id", parse_year(F.col("annee")).alias("annee"))
+
+
+@query()
+def parse_number_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts of every row, in whatever notation; a cell without a number gives null. ``parse_number`` is the slice that its SQL reads."""
+    return table(spark, folder, "data_verification", "ver_id", "valeur_rapport_reel").select("ver_id", parse_amount(F.col("valeur_rapport_reel")).alias("valeur"))
+
+
+@query()
+def parse_years_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Years of every row, in whatever notation; ``parse_years`` is the slice that its SQL reads."""
+    return table(spark, folder, "data_verification", "ver_id", "annee").select("ver_id", parse_year(F.col("annee")).alias("annee"))
