@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +32,25 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+#: White space beyond ASCII as well, as the reference's patterns mean it.
+UNICODE_BLANKS = r"(?U)[\s\x1c-\x1f]+"
+
+
+def plain_blanks(text: Column) -> Column:
+    """Runs of white space of any kind as one blank, so that the normalisers below see no other."""
+    return F.regexp_replace(text, UNICODE_BLANKS, " ")
+
+
+def decomposed(text: Column) -> Column:
+    """Lower case, compatibility characters opened and all marks dropped (NFKD), which no built-in function does."""
+
+    @F.pandas_udf("string")
+    def run(column: pd.Series) -> pd.Series:
+        return column.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c)))
+
+    return run(text)
+
+
 def norm_words(text: Column) -> Column:
     """Localisation and selection normaliser: unaccented lower-case letters and digits, single blanks."""
     return squeeze(F.regexp_replace(unaccent(text), r"[^a-z0-9\s]", " "))

@@ -37,6 +37,15 @@ def normalise_label(spark: SparkSession, folder: str) -> DataFrame:
     return names.select("nom", T.norm_words(n).alias("mots"), T.norm_keep_punctuation(n).alias("avec_ponctuation"), T.norm_name_delete(n).alias("sans"), T.norm_name_space(n).alias("espace"))
 
 
+@query()
+def normalise_label_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The four normalisers over every company spelling, with marks, blanks and signs of any alphabet; ``normalise_label``
+    is the slice that its SQL reads."""
+    names = table(spark, folder, "data_cifen", F.col("entreprise").alias("nom")).where("nom is not null").distinct()
+    n = T.plain_blanks(F.col("nom"))
+    return names.select("nom", T.norm_words(T.decomposed(n)).alias("mots"), T.norm_keep_punctuation(n).alias("avec_ponctuation"), T.norm_name_delete(n).alias("sans"), T.norm_name_space(n).alias("espace"))
+
+
 @query(f"""
 WITH w AS (SELECT nom, string_split(trim(regexp_replace(regexp_replace(upper(translate(translate(lower(nom), '{A}', '{B}'), '_-', '  ')), '[^A-Z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')), ' ') AS m FROM emetteurs)
 SELECT nom, array_to_string(list_filter(m, lambda x: x NOT IN ({", ".join(f"'{w}'" for w in T.LEGAL_WORDS)})), ' ') AS cle FROM w""")
@@ -227,6 +236,15 @@ def row_types(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("field_id", T.norm_words(F.col("original_label")).alias("n"), blank.alias("vide")).select("field_id", K.row_type(F.col("n"), F.col("vide")).alias("genre"))
 
 
+@query()
+def row_types_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Kinds of all rows of income statements, null labels and any characters included; ``row_types`` is the slice that its SQL reads."""
+    df = table(spark, folder, "extracted_fields", "field_id", "bilan", "original_label", "value_current", "value_previous").where("bilan = 'CPC'")
+    empty = lambda c: F.trim(T.plain_blanks(F.coalesce(c, F.lit("")))) == ""
+    label = T.norm_words(T.decomposed(T.plain_blanks(F.col("original_label"))))
+    return df.select("field_id", label.alias("n"), (empty("value_current") & empty("value_previous")).alias("vide")).select("field_id", K.row_type(F.col("n"), F.col("vide")).alias("genre"))
+
+
 @query("""
 SELECT nom, capital, CASE WHEN regexp_matches(replace(replace(capital, ' ', ''), chr(160), ''), '^-?[0-9]+([.,][0-9]+)?$') THEN try_cast(replace(replace(replace(capital, ' ', ''), chr(160), ''), ',', '.') AS DOUBLE) END AS valeur FROM emetteurs""")
 def capital_numbers(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,3 +44,38 @@ def test_every_amount_and_year_is_read(spark):
     assert len(got) == len(source) and [r for r in source if got[r.ver_id] != amount(r.valeur_rapport_reel) and (got[r.ver_id] is None or abs(got[r.ver_id] - amount(r.valeur_rapport_reel)) > 1e-6)] == []
     got = {r.ver_id: r.annee for r in rows(spark, "parse_years_all")}
     assert len(got) == len(source) and [(r.annee, got[r.ver_id]) for r in source if got[r.ver_id] != year(r.annee)] == []
+
+
+def words(t):
+    t = "".join(c for c in unicodedata.normalize("NFKD", (t or "").lower()) if not unicodedata.combining(c))
+    return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9\s]", " ", t)).strip()
+
+
+def test_every_company_spelling_is_normalised(spark, tmp_path):
+    names = ["NAMERILE TEXTILE", "﻿ROBEMIKE AGRO", "SEZEZERE ENERGIE\t", "Ōmega d’Or", "ÉTOILE SA", "ﬁn co."]
+    spark.createDataFrame([(n,) for n in [*names, None]], "entreprise string").write.parquet(f"{tmp_path}/data_cifen.parquet")
+    got = {r.nom: r for r in rows(spark, "normalise_label_all", str(tmp_path))}
+    assert set(got) == set(names) and {n: got[n].mots for n in names} == {n: words(n) for n in names}
+    r = got["NAMERILE TEXTILE"]
+    assert (r.mots, r.avec_ponctuation, r.sans, r.espace) == ("namerile textile",) * 4
+    assert (got["﻿ROBEMIKE AGRO"].sans, got["SEZEZERE ENERGIE\t"].avec_ponctuation, got["Ōmega d’Or"].mots) == ("robemike agro", "sezezere energie", "omega d or")
+
+
+def test_every_income_row_has_a_kind(spark, tmp_path):
+    source = frame(spark, "extracted_fields", "field_id", "bilan", "original_label", "value_current", "value_previous")
+    added = [(-1, "CPC", None, "1", None), (-2, "CPC", "Total…", "1", None), (-3, "CPC", "Résultat net", "1", None), (-4, "CPC", "Produits…", " ", None), (-5, "CPC", " ", "1", "2")]
+    spark.createDataFrame([*map(tuple, source), *added], "field_id bigint, bilan string, original_label string, value_current string, value_previous string").write.parquet(f"{tmp_path}/extracted_fields.parquet")
+
+    def kind(label, *values):
+        n = words(label)
+        if not n:
+            return "VIDE"
+        if n.startswith("total") or "cumul" in n:
+            return "TOTAL"
+        if n.startswith(("resultat", "benefice", "solde")):
+            return "RESULTAT"
+        return "DETAIL" if any((v or "").strip() for v in values) else "TITRE_SECTION"
+
+    got = {r.field_id: r.genre for r in rows(spark, "row_types_all", str(tmp_path))}
+    assert got == {r[0]: kind(*r[2:]) for r in [*map(tuple, source), *added] if r[1] == "CPC"}
+    assert [got[i] for i in (-1, -2, -3, -4, -5)] == ["VIDE", "TOTAL", "RESULTAT", "TITRE_SECTION", "VIDE"]
