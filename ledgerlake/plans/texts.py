@@ -200,6 +200,15 @@ def html_to_text(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("doc_id", T.html_to_text(F.col("text")).alias("texte"), F.regexp_count("text", F.lit(r"(?i)<tr\b")).alias("lignes"))
 
 
+@query()
+def html_to_text_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Text and table rows of every passage; marks such as ``<|endoftext|>`` are tags like any other. ``html_to_text`` is
+    the slice that its SQL reads."""
+    d = documents(spark, folder, "text").where("text is not null")
+    bare = F.regexp_replace(F.regexp_replace("text", r"<[^>]+>", " "), r"(?U)[\s\x1c-\x1f]+", " ")
+    return d.select("doc_id", F.trim(bare).alias("texte"), F.regexp_count("text", F.lit(r"(?i)<tr\b")).alias("lignes"))
+
+
 @query("""SELECT doc_id, unnest(regexp_extract_all(text, 'www\\.[a-z0-9]+\\.example')) AS lien FROM documents""")
 def links(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses named in the texts."""

@@ -79,3 +79,11 @@ def test_every_income_row_has_a_kind(spark, tmp_path):
     got = {r.field_id: r.genre for r in rows(spark, "row_types_all", str(tmp_path))}
     assert got == {r[0]: kind(*r[2:]) for r in [*map(tuple, source), *added] if r[1] == "CPC"}
     assert [got[i] for i in (-1, -2, -3, -4, -5)] == ["VIDE", "TOTAL", "RESULTAT", "TITRE_SECTION", "VIDE"]
+
+
+def test_every_text_loses_its_tags(spark, tmp_path):
+    source = [*map(tuple, frame(spark, "documents", "doc_id", "text")), (-1, "<|endoftext|> <table><TR><td>Stocks</td></tr></table>"), (-2, "a <b>c</b>"), (-3, "sans"), (-4, None)]
+    spark.createDataFrame(source, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.texte, r.lignes) for r in rows(spark, "html_to_text_all", str(tmp_path))}
+    assert got == {i: (re.sub(r"\s+", " ", re.sub("<[^>]+>", " ", t)).strip(), len(re.findall(r"(?i)<tr\b", t))) for i, t in source if t is not None}
+    assert got[-1] == ("Stocks", 1) and got[-3] == ("sans", 0)
