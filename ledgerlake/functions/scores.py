@@ -5,26 +5,96 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Phrases of report titles and their weights in the first collection.
+#: Phrases of report titles and their weights in the first collection and in the search for light reports;
+#: titles are read without accents, so spellings with and without them are one phrase.
 TITLE_WEIGHTS = {
-    "rapport financier annuel": 100, "rapport annuel": 95, "comptes annuels": 90, "etats financiers": 88, "comptes de l'exercice": 88, "comptes sociaux": 88,
-    "rapport du conseil": 80, "rapport de gestion": 80, "comptes du groupe": 75, "rapport consolide": 75, "rfa": 95,
+    "rapport annuel": 100, "rapport financier annuel": 98, "rfa": 95, "document de reference": 92, "comptes annuels": 90, "etats financiers": 88,
+    "etats de synthese": 85, "rapport de gestion": 80, "rapport consolide": 75, "annual report": 70, "resultats annuels": 65,
+}
+TITLE_WEIGHTS_LIGHT = {
+    "rapport annuel": 100, "rapport financier annuel": 98, "rfa": 95, "document de reference": 92, "comptes annuels": 90, "etats financiers": 88,
+    "etats de synthese": 85, "rapport de gestion": 80, "rapport consolide": 75, "comptes sociaux": 75, "annual report": 70, "resultats annuels": 65,
 }
 #: Phrases in order of preference; each place costs five points. Then the phrases of shorter periods.
-TITLE_ORDER = ["rapport financier annuel", "rapport annuel", "rfa", "comptes annuels", "comptes sociaux", "comptes de l'exercice", "etats financiers", "rapport de gestion", "rapport du conseil", "comptes du groupe", "rapport consolide"]
-SHORT_PERIODS = {"semestr": 70, "juin": 70, "trimestr": 50}
-#: Keyword weights by category, a part of the lists the table selection uses.
+TITLE_ORDER = [
+    "rapport annuel", "rapport financier annuel", "rfa", "rapport integre", "rapport de gestion", "rapport d'activite", "etats financiers",
+    "etats de synthese", "comptes annuels", "comptes consolides", "document de reference", "document d'enregistrement universel",
+    "communication financiere annuelle", "annual report", "financial statements", "consolidated financial statements",
+]
+SHORT_PERIODS = {
+    "rapport semestriel": 70, "rapport financier semestriel": 70, "rapport intermediaire": 70, "etats financiers semestriels": 70, "half year": 70,
+    "h1": 70, "h2": 70, "s1": 70, "s2": 70, "rapport trimestriel": 50, "resultats trimestriels": 50, "q1": 50, "q2": 50, "q3": 50, "q4": 50, "t1": 50,
+    "t2": 50, "t3": 50, "t4": 50, "quarterly report": 50,
+}
+#: Keyword weights by category, the whole lists of the table selection.
 CATEGORIES = {
-    "bilan_actif": {"immobilisations corporelles": 15, "total de l actif": 28, "stocks": 8, "actif": 4, "terrains": 5, "immobilisations": 6, "tresorerie": 22},
-    "bilan_passif": {"capitaux propres": 20, "total du passif": 28, "endettement": 16, "passif": 4, "emprunt obligataire": 6, "ecart de conversion passif": 9},
-    "cpc": {"chiffre d affaires": 20, "resultat net": 8, "charges d exploitation": 18, "impots": 5, "masse salariale": 6, "dividende": 5},
-    "identification": {"ice": 14, "registre du commerce": 16, "raison sociale": 20, "siege": 18, "identifiants de la societe": 22, "rc": 4},
+    "bilan_actif": {
+        "actif immobilise": 18, "immobilisations en non valeur": 16, "immobilisations incorporelles": 15, "immobilisations corporelles": 15,
+        "immobilisations financieres": 15, "actif circulant": 16, "creances de l actif circulant": 16, "tresorerie actif": 22, "total actif": 10,
+        "total de l actif": 28, "total general de l actif": 26, "total general actif": 24, "actif net total": 14, "stocks": 8, "immobilisations": 6,
+        "actif": 4, "frais preliminaires": 6, "charges a repartir sur plusieurs exercices": 6, "primes de remboursement des obligations": 6,
+        "immobilisation en recherche et developpement": 6, "brevets marques droits et valeurs similaires": 6, "fonds commercial": 6,
+        "autres immobilisations incorporelles": 5, "terrains": 5, "constructions": 5, "installations techniques materiel et outillage": 7,
+        "materiel de transport": 5, "mobilier materiel de bureau et amenagements divers": 7, "autres immobilisations corporelles": 5,
+        "immobilisations corporelles en cours": 7, "prets immobilises": 5, "autres creances financieres": 5, "titres de participation": 6,
+        "autres titres immobilises": 5, "ecarts de conversion actif": 9, "diminution des creances immobilisees": 5,
+        "augmentation des dettes de financement": 5, "marchandises": 5, "matieres et fournitures consommables": 6, "produits en cours": 5,
+        "produits intermediaires et produits residuels": 6, "produits finis": 5, "fournisseurs debiteurs avances et acomptes": 6,
+        "clients et comptes rattaches": 9, "comptes d associes": 4, "autres debiteurs": 5, "comptes de regularis actif": 6,
+        "titres et valeurs de placement": 6, "ecarts de conversion actif elements circulants": 6, "cheques et valeurs a encaisser": 6,
+        "banques t g et c c p": 6, "caisses regies d avances et accreditifs": 6, "personnel": 3, "etat": 3,
+    },
+    "bilan_passif": {
+        "capitaux propres": 20, "total des capitaux propres": 22, "capitaux propres assimiles": 12, "dettes de financement": 16,
+        "provisions durables pour risques et charges": 12, "passif circulant": 16, "dettes du passif circulant": 18, "tresorerie passif": 22,
+        "total passif": 10, "total du passif": 28, "total general du passif": 26, "total general passif": 24, "passif": 4,
+        "capital social ou personnel": 10, "primes d emission de fusion et d apport": 6, "ecarts de reevaluation": 5, "reserve legale": 6,
+        "autres reserves": 5, "report a nouveau": 6, "resultats nets en instance d affectation": 6, "resultat net de l exercice": 10,
+        "subventions d investissement": 6, "provisions reglementees": 5, "emprunts obligataires": 6, "autres dettes de financement": 5,
+        "provisions pour risques": 6, "provisions pour charges": 6, "provisions pour risques et charges": 10, "ecarts de conversion passif": 9,
+        "augmentation des creances immobilisees": 5, "diminution des dettes de financement": 5, "fournisseurs et comptes rattaches": 9,
+        "clients crediteurs avances et acomptes": 6, "organismes sociaux": 6, "autres creanciers": 5, "comptes de regularisation passif": 6,
+        "autres provisions pour risques et charges": 6, "ecarts de conversion passif elements circulants": 6, "credits d escompte": 6,
+        "credits de tresorerie": 6, "banques soldes crediteurs": 6, "personnel": 3, "etat": 3,
+    },
+    "cpc": {
+        "compte de produits et charges": 26, "chiffre d affaires": 20, "chiffres d affaires": 12, "produits d exploitation": 18,
+        "charges d exploitation": 18, "resultat d exploitation": 18, "produits financiers": 10, "charges financieres": 10, "resultat financier": 14,
+        "resultat courant": 14, "produits non courants": 10, "charges non courantes": 10, "resultat non courant": 12, "resultat avant impots": 15,
+        "impots sur les resultats": 10, "resultat net": 8, "ventes de marchandises": 6, "ventes de biens et services produits": 6,
+        "variation des stocks de produits": 6, "immobilisations produites par l entreprise pour elle meme": 6, "subventions d exploitation": 5,
+        "autres produits d exploitation": 5, "reprises d exploitation transferts de charges": 6, "achats revendus de marchandises": 6,
+        "achats consommes de matieres et fournitures": 6, "autres charges externes": 5, "impots et taxes": 5, "charges de personnel": 6,
+        "autres charges d exploitation": 5, "dotations d exploitation": 6, "produits des titres de participation et autres titres immobilises": 5,
+        "gains de change": 5, "interets et autres produits financiers": 5, "reprises financieres transferts de charges": 5, "charges d interets": 5,
+        "pertes de change": 5, "autres charges financieres": 5, "dotations financieres": 5, "produits des cessions d immobilisations": 5,
+        "subventions d equilibre": 5, "reprises sur subventions d investissement": 5, "autres produits non courants": 5,
+        "reprises non courantes transferts de charges": 5, "valeurs nettes d amortissements des immobilisations cedees": 5,
+        "subventions accordees": 4, "autres charges non courantes": 5, "dotations non courantes aux amortissements et aux provisions": 5,
+    },
+    "identification": {
+        "numero de registre du commerce et code du centre de registre du commerce": 22, "code du centre de registre du commerce": 16,
+        "numero de registre du commerce": 18, "registre du commerce": 16, "nom de l entreprise": 16, "identifiant commun de l entreprise": 22,
+        "ice": 14, "raison sociale": 20, "denomination sociale": 18, "denomination": 9, "siege social": 18, "adresse du siege": 10,
+        "forme juridique": 12, "capital social": 8, "activite principale": 10, "secteur d activite": 10, "objet social": 10,
+        "date de constitution": 12, "exercice social": 6, "numero d identification fiscale": 14, "identifiant fiscal": 12, "patente": 10, "cnss": 8,
+    },
 }
 SCORE_CAP, LEAST_SCORE, LEAST_MARGIN = 100, 32, 6
-#: Markers of sustainability pages, of consolidated statements (strong and weak), of announcements.
-ESG_MARKERS = ["emissions de carbone", "developpement durable", "parties prenantes", "biodiversite", "egalite", "empreinte", "climat", "gouvernance", "dechets", "energie renouvelable"]
-STRONG_MARKERS = ["comptes consolides", "etats financiers consolides", "perimetre de consolidation", "mises en equivalence"]
-WEAK_MARKERS = ["consolide", "groupe", "part du groupe", "interets minoritaires", "goodwill", "ecart d acquisition", "filiale"]
+#: Markers of balances of management (off topic), of consolidated statements (strong and weak), of announcements.
+ESG_MARKERS = [
+    "marge brute", "valeur ajoutee", "excedent brut d exploitation", "insuffisance brute d exploitation", "capacite d autofinancement",
+    "autofinancement", "etat des soldes de gestion", "production de l exercice", "consommation de l exercice", "marge brute sur ventes en l etat",
+]
+STRONG_MARKERS = [
+    "interets minoritaires", "interet minoritaire", "ecart d acquisition", "ecarts d acquisition", "goodwill", "perimetre de consolidation",
+    "methode de consolidation", "integration globale", "integration proportionnelle", "mise en equivalence", "societes consolidees",
+    "etats financiers consolides", "comptes consolides", "resultat net part du groupe",
+]
+WEAK_MARKERS = [
+    "part du groupe", "part des minoritaires", "capitaux propres attribuables aux actionnaires", "activites poursuivies", "activites abandonnees",
+    "actifs non courants detenus en vue de la vente", "immobilisations en droit d usage",
+]
 ANNOUNCEMENTS = ["communique financier", "communique de presse", "avis de publication", "avis de reunion", "rapport annuel", "est disponible sur"]
 
 
@@ -53,6 +123,11 @@ def title_score(text: Column) -> Column:
     return F.greatest(F.lit(0), *[F.when(text.contains(p), w).otherwise(0) for p, w in TITLE_WEIGHTS.items()])
 
 
+def title_score_light(text: Column) -> Column:
+    """Third version: as the first, with the phrases of the search for light reports."""
+    return F.greatest(F.lit(0), *[F.when(text.contains(p), w).otherwise(0) for p, w in TITLE_WEIGHTS_LIGHT.items()])
+
+
 def title_score_ordered(text: Column) -> Column:
     """Second version: 100 less five for each place in the order; shorter periods only if nothing else matched."""
     yearly = F.coalesce(*[F.when(text.contains(p), 100 - 5 * i) for i, p in enumerate(TITLE_ORDER)])

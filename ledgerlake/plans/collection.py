@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scores import first_year, last_year, title_score, title_score_ordered
+from ledgerlake.functions.scores import first_year, last_year, title_score, title_score_light, title_score_ordered
 from ledgerlake.functions.text import norm_name_delete, unaccent
 from ledgerlake.operators import select as S
 from ledgerlake.plans.catalog import query
@@ -248,6 +248,12 @@ def title_scores(spark: SparkSession, folder: str) -> DataFrame:
     return candidates(spark, folder, "cand_id", "titre").select("cand_id", title_score(t).alias("score_1"), title_score_ordered(t).alias("score_2"))
 
 
+@query()
+def title_scores_light(spark: SparkSession, folder: str) -> DataFrame:
+    """Third score of a title, beside ``title_scores``."""
+    return candidates(spark, folder, "cand_id", "titre").select("cand_id", title_score_light(unaccent(F.col("titre"))).alias("score_3"))
+
+
 @query("""
 SELECT cand_id, nullif(regexp_extract(titre, '(20\\d{2})', 1), '')::INTEGER AS premiere, nullif(regexp_extract(concat_ws(' ', titre, url_pdf), '(20\\d{2})', 1), '')::INTEGER AS premiere_url,
   regexp_extract_all(titre, '(20\\d{2})', 1)[-1]::INTEGER AS derniere FROM doc_candidates""")
