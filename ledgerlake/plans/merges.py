@@ -92,6 +92,29 @@ def pivot_wide(spark: SparkSession, folder: str) -> DataFrame:
     return last.groupBy("entreprise", "annee").pivot("code", SHOWN).agg(F.max("value_current"))
 
 
+def catalogue_codes(spark: SparkSession, folder: str) -> list[str]:
+    """All account codes in catalogue order; the fixed catalogue bounds the list."""
+    found = table(spark, folder, "champs_cifen", "section", "pos", "code").na.drop().collect()
+    return list(dict.fromkeys(r.code.lower() for r in sorted(found, key=lambda r: (r.section, r.pos))))
+
+
+@query()
+def melt_long_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All accounts to rows, blanks kept; ``melt_long`` is the slice of six accounts that its SQL shows."""
+    present = set(table(spark, folder, "data_cifen").columns)
+    codes = [c for c in catalogue_codes(spark, folder) if c in present]
+    return nan_to_null(table(spark, folder, "data_cifen", "row_id", *codes)).unpivot(["row_id"], codes, "code", "valeur")
+
+
+@query()
+def pivot_wide_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Read lines to a column for every code of the catalogue; the last line of a repeated code counts. ``pivot_wide`` is
+    the slice of six accounts that its SQL shows."""
+    df = table(spark, folder, "extracted_fields", "entreprise", "annee", "code", "field_id", "value_current").where("code is not null").withColumn("code", F.lower("code"))
+    last = S.last_wins(df, ["entreprise", "annee", "code"], F.col("field_id"), ["value_current"])
+    return last.groupBy("entreprise", "annee").pivot("code", catalogue_codes(spark, folder)).agg(F.max("value_current"))
+
+
 @query("SELECT DISTINCT code AS champ FROM extracted_fields WHERE code IS NOT NULL")
 def dynamic_header(spark: SparkSession, folder: str) -> DataFrame:
     """The header of a table with open columns: the sorted union of its keys."""

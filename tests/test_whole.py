@@ -106,3 +106,20 @@ def test_keyword_and_marker_lists_are_whole(spark):
     n = F.col("n")
     marks = spark.createDataFrame([("marge brute valeur ajoutee",), ("goodwill",), ("part du groupe",), ("part du groupe activites abandonnees",), ("climat gouvernance",)], "n string").select((K.count_of(n, K.ESG_MARKERS) >= 2).alias("x"), K.series_of(n).alias("s"))
     assert [tuple(r) for r in marks.collect()] == [(True, None), (False, "consolide"), (False, None), (False, "consolide"), (False, None)]
+
+
+def test_all_accounts_change_shape(spark):
+    codes = {r.code.lower() for r in frame(spark, "champs_cifen", "code")}
+    assert len(codes) == 138
+    last = {}
+    for r in sorted(frame(spark, "extracted_fields", "entreprise", "annee", "code", "field_id", "value_current"), key=lambda r: r.field_id):
+        if r.code is not None:
+            last[r.entreprise, r.annee, r.code.lower()] = r.value_current
+    wide = registry.queries()["pivot_wide_all"](spark, FOLDER)
+    assert set(wide.columns) == {"entreprise", "annee", *codes}
+    got = wide.collect()
+    assert {(r.entreprise, r.annee) for r in got} == {k[:2] for k in last} and len(got) == len({k[:2] for k in last})
+    assert {(r.entreprise, r.annee, c): r[c] for r in got for c in codes if r[c] is not None} == {k: v for k, v in last.items() if v is not None}
+    want = {(r.row_id, c): r[c] for r in frame(spark, "data_cifen", "row_id", *sorted(codes)) for c in codes}
+    got = rows(spark, "melt_long_all")
+    assert len(got) == len(want) and {(r.row_id, r.code): r.valeur for r in got} == {k: None if v != v else v for k, v in want.items()}
