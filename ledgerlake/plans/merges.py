@@ -25,6 +25,17 @@ def outer_merge_indicator(spark: SparkSession, folder: str) -> DataFrame:
     return S.full_merge(a, b, "entreprise", "documents", "candidats")
 
 
+@query("""
+WITH l AS (SELECT entreprise, count(*) AS n_documents FROM documents GROUP BY entreprise), r AS (SELECT entreprise, count(*) AS n_candidats FROM doc_candidates GROUP BY entreprise)
+SELECT coalesce(l.entreprise, r.entreprise) AS entreprise, n_documents, n_candidats, CASE WHEN r.n_candidats IS NULL THEN 'documents' WHEN l.n_documents IS NULL THEN 'candidats' ELSE 'les_deux' END AS origine
+FROM l FULL JOIN r ON l.entreprise IS NOT DISTINCT FROM r.entreprise""")
+def outer_merge_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Full outer merge of all documents and all candidates; ``outer_merge_indicator`` is the slice of candidates of 2020 that its SQL shows."""
+    a = table(spark, folder, "documents", "entreprise").groupBy("entreprise").agg(F.count(F.lit(1)).alias("n_documents"))
+    b = table(spark, folder, "doc_candidates", "entreprise").groupBy("entreprise").agg(F.count(F.lit(1)).alias("n_candidats"))
+    return S.full_merge(a, b, "entreprise", "documents", "candidats")
+
+
 @query("""
 SELECT d.cand_id, d.entreprise, d.source, s.rang AS rang, d.score, d.annee, e.secteur, e.ticker FROM doc_candidates d LEFT JOIN sources_collecte s ON s.source = d.source LEFT JOIN emetteurs e ON e.nom = d.entreprise""")
 def left_merge_suffix(spark: SparkSession, folder: str) -> DataFrame:

@@ -123,3 +123,27 @@ def test_all_accounts_change_shape(spark):
     want = {(r.row_id, c): r[c] for r in frame(spark, "data_cifen", "row_id", *sorted(codes)) for c in codes}
     got = rows(spark, "melt_long_all")
     assert len(got) == len(want) and {(r.row_id, r.code): r.valeur for r in got} == {k: None if v != v else v for k, v in want.items()}
+
+
+def test_pages_show_every_year_of_orders(spark):
+    nation = dict(map(tuple, frame(spark, "nation", "n_nationkey", "n_name")))
+    of = {c: nation[n] for c, n in frame(spark, "customer", "c_custkey", "c_nationkey")}
+    cents = {}
+    for r in frame(spark, "orders", "o_custkey", F.year("o_orderdate").alias("an"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("c")):
+        if r.o_custkey in of:
+            cents[of[r.o_custkey], r.an] = cents.get((of[r.o_custkey], r.an), 0) + r.c
+    got = {}
+    for r in rows(spark, "page_indicators"):
+        name, years = r.page.rsplit(" ", 1)
+        got[name, int(years[:4]) + int(r.champ[-1]) - 1] = r.valeur
+    assert {k[1] for k in got} == set(range(1995, 2002))
+    assert set(got) == set(cents) and all(abs(got[k] - v / 100) <= 0.5 for k, v in cents.items())
+
+
+def test_all_candidates_meet_the_documents(spark):
+    docs = [r.entreprise for r in frame(spark, "documents", "entreprise")]
+    found = [r.entreprise for r in frame(spark, "doc_candidates", "entreprise")]
+    got = {r.entreprise: (r.n_documents, r.n_candidats, r.origine) for r in rows(spark, "outer_merge_all")}
+    both = {n: (docs.count(n) or None, found.count(n) or None) for n in {*docs, *found}}
+    assert got == {n: (a, b, "documents" if b is None else "candidats" if a is None else "les_deux") for n, (a, b) in both.items()}
+    assert sum(b or 0 for _, b, _ in got.values()) == len(found)
