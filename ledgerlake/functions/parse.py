@@ -40,12 +40,17 @@ def parse_year(text: Column) -> Column:
     return F.nullif(F.regexp_extract(digits, r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")).cast("int")
 
 
-def amount_text(text: Column) -> Column:
+#: A lone dot that is a decimal sign: before one or two digits, as in the read tables; or before any digits that cannot
+#: be a group of thousands, as in exports of numbers with a fixed count of decimals.
+SHORT_DECIMALS, ANY_DECIMALS = r"^\d*\.\d{1,2}$", r"^(?!\d{1,3}\.\d{3}$)\d*\.\d+$"
+
+
+def amount_text(text: Column, decimal_dot: str = SHORT_DECIMALS) -> Column:
     """Decimal text of an amount in mixed notation, to be read with ``try_cast``; null where the cell holds no number.
 
-    A comma is the decimal sign unless a dot follows it later in the cell; one dot with one or two digits after it
-    is decimal, any other dots group thousands; brackets or a minus at either end mean minus. Blanks of all kinds and
-    apostrophes are grouping.
+    A comma is the decimal sign unless a dot follows it later in the cell; one dot that fits ``decimal_dot`` is decimal,
+    any other dots group thousands; brackets or a minus at either end mean minus. Blanks of all kinds and apostrophes
+    are grouping.
     """
     digits = "0123456789"
     flat = F.translate(text, ARABIC_DIGITS + _DASHES + _DROPPED, digits * 2 + "-" * len(_DASHES))
@@ -53,7 +58,7 @@ def amount_text(text: Column) -> Column:
     def number(b: Column) -> Column:
         return (
             F.when(b.contains(","), F.when(b.rlike(r",.*\."), F.translate(b, ",", "")).otherwise(F.translate(b, ",.", ".")))
-            .when(b.rlike(r"^\d*\.\d{1,2}$"), b)
+            .when(b.rlike(decimal_dot), b)
             .otherwise(F.translate(b, ".", ""))
         )
 
@@ -64,6 +69,6 @@ def amount_text(text: Column) -> Column:
     return let(flat, signed)
 
 
-def parse_amount(text: Column) -> Column:
+def parse_amount(text: Column, decimal_dot: str = SHORT_DECIMALS) -> Column:
     """``amount_text`` as a double."""
-    return amount_text(text).try_cast("double")
+    return amount_text(text, decimal_dot).try_cast("double")

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.companies import resolve_company
-from ledgerlake.functions.parse import parse_amount, parse_year
+from ledgerlake.functions.parse import ANY_DECIMALS, parse_amount, parse_year
 from ledgerlake.operators.datadiff import differing_keys, rows_to_compare, set_hash
-from ledgerlake.session import cut
+from ledgerlake.session import cut, written
 from ledgerlake.sources.tables import table
 
 #: Values that differ by no more than this are the same; also the quantum of the row hash, so that equal hashes
@@ -16,6 +16,10 @@ from ledgerlake.sources.tables import table
 TOLERANCE = 0.005
 
 
+#: Codes a comparison may have; they become columns of the plan.
+MOST_CODES = 2_000
+
+
 def codes_compared(spark: SparkSession, folder: str) -> dict[str, str]:
     """Codes that occur in the long copy: column of the wide copy -> code as spelt in the catalogue.
 
@@ -23,7 +27,9 @@ def codes_compared(spark: SparkSession, folder: str) -> dict[str, str]:
     """
     seen = table(spark, folder, "data_verification", "code_cifen").select(F.lower(F.trim("code_cifen")).alias("c")).distinct()
     catalogue = table(spark, folder, "champs_cifen", "code").distinct()
-    found = catalogue.join(seen, F.lower("code") == F.col("c"), "left_semi").collect()
+    found = catalogue.join(seen, F.lower("code") == F.col("c"), "left_semi").limit(MOST_CODES + 1).collect()
+    if len(found) > MOST_CODES:
+        raise ValueError("too many codes for one comparison")
     return {code.lower(): code for code in sorted(r.code for r in found)}
 
 
@@ -47,12 +53,15 @@ def wide_copy(spark: SparkSession, folder: str, codes: list[str]) -> DataFrame:
 
 
 def long_copy(spark: SparkSession, folder: str) -> DataFrame:
-    """(nom, annee, vals): the latest row of each company, year and code; cells without a number hold no value."""
+    """(nom, annee, vals): the latest row of each company, year and code; cells without a number hold no value.
+
+    The amounts are exports, not read cells: ``490380658.6800`` has four decimals and does not group thousands.
+    """
     df = table(spark, folder, "data_verification", "ver_id", "entreprise", "annee", "code_cifen", "valeur_rapport_reel", "verifie_le")
     named = resolve_company(df.withColumn("annee", parse_year(F.col("annee"))), "entreprise", table(spark, folder, "emetteurs", "nom", "ticker"))
     rows = named.where("nom is not null and annee is not null").withColumn("code", F.lower(F.trim("code_cifen")))
     latest = rows.groupBy("nom", "annee", "code").agg(F.max_by("valeur_rapport_reel", F.struct("verifie_le", "ver_id")).alias("text"))
-    values = latest.withColumn("value", parse_amount(F.col("text")))
+    values = latest.withColumn("value", parse_amount(F.col("text"), ANY_DECIMALS))
     pair = F.when(F.col("value").isNotNull(), F.struct("code", "value"))
     return values.groupBy("nom", "annee").agg(F.collect_list(pair).alias("vals"))
 
@@ -72,7 +81,8 @@ def differences(spark: SparkSession, folder: str) -> DataFrame:
     null or unreadable keys take no part; a table without rows makes every key of the other one absent.
     """
     codes = codes_compared(spark, folder)
-    wide, long = cut(hashed(wide_copy(spark, folder, list(codes)))), cut(hashed(long_copy(spark, folder)))
+    # by column, so that the lookup tables read the two hashes and no values
+    wide, long = written(hashed(wide_copy(spark, folder, list(codes)))), written(hashed(long_copy(spark, folder)))
     keys = cut(differing_keys(wide, long, max(wide.count(), long.count())))
     buckets = (keys.select("buckets").first() or [1])[0]
     a, b = (rows_to_compare(side.drop("h"), keys, buckets) for side in (wide, long))

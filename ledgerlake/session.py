@@ -25,6 +25,7 @@ def local_session(cpus: str | int = "*", app: str = "ledgerlake", **conf: str) -
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
@@ -80,10 +81,6 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
-def input_partitions(df: DataFrame) -> int:
-    return max(1, df.rdd.getNumPartitions())
-
-
 def width(spark: SparkSession) -> int:
     """Partitions for an explicit repartition: what the session asks for, at least two waves of its cores."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.companies import company_key
-from ledgerlake.functions.parse import parse_amount, parse_year
+from ledgerlake.functions.parse import ANY_DECIMALS, parse_amount, parse_year
 from ledgerlake.operators import datadiff
 from ledgerlake.operators.aliases import alias_dictionary, weighted_distance
 from ledgerlake.operators.profile import ks_distance, ks_distances, order_statistics, sorted_groups
@@ -85,30 +86,82 @@ def test_a_bucket_beyond_its_cells_is_compared_whole(spark):
     assert datadiff.rows_to_compare(left, keys, 1).select("id").distinct().count() == 50
 
 
-def test_differences_equal_brute_force(spark):
-    import duckdb
-
-    from tests.compare import oracle_rows  # the tables as views
-
-    folder = f"{DATA}/sf0.01"
-    got = registry.queries()["p3_found"](spark, folder).toPandas()
-    assert not got.duplicated().any() and set(got.statut) == {"ecart", "absent_cifen", "absent_verification"}
-    # plain spellings only: for them SQL can say the same
-    sql = """
-    WITH c AS (SELECT entreprise, annee, actif_f, cpc_i_3, passif_a FROM data_cifen WHERE entreprise IN (SELECT nom FROM emetteurs) AND annee BETWEEN 2000 AND 2030 QUALIFY row_number() OVER (PARTITION BY entreprise, annee ORDER BY maj_le DESC, row_id DESC) = 1),
-    l AS (SELECT entreprise, annee, 'Actif_F' AS code_cifen, actif_f AS x FROM c UNION ALL SELECT entreprise, annee, 'CPC_I_3', cpc_i_3 FROM c UNION ALL SELECT entreprise, annee, 'Passif_A', passif_a FROM c),
-    v AS (SELECT entreprise, annee::INTEGER AS annee, code_cifen, try_cast(replace(replace(valeur_rapport_reel, chr(160), ''), ',', '.') AS DOUBLE) AS y FROM data_verification WHERE entreprise IN (SELECT nom FROM emetteurs) AND regexp_full_match(annee, '20[0-9]{2}')
-      QUALIFY row_number() OVER (PARTITION BY entreprise, annee, code_cifen ORDER BY verifie_le DESC) = 1)
-    SELECT l.entreprise, l.annee, l.code_cifen, x, y FROM l JOIN v USING (entreprise, annee, code_cifen) WHERE x IS NOT NULL AND y IS NOT NULL"""
-    _, rows = oracle_rows(sql, folder)
-    plain = {(r[0], r[1], r[2]): abs(r[3] - r[4]) > 0.005 for r in rows}
-    cases = {(r.entreprise, r.annee, r.code_cifen) for r in got.itertuples()}
-    clean = pd.DataFrame(oracle_rows("SELECT entreprise, annee FROM data_cifen", folder)[1], columns=["e", "a"])
-    spelt = set(clean[clean.e.isin(set(clean.e.dropna().str.upper()))].e)
-    wrong = [k for k, differs in plain.items() if differs != (k in cases) and k[0] in spelt]
-    # a spelling that SQL cannot read may hold the later row of either copy
-    assert len(wrong) <= 0.02 * len(plain), wrong[:5]
-    assert duckdb
+def company_of(text, by_key):
+    """The issuer a spelling means, by hand: marks off, letters and digits, legal forms off either end."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", (text or "").upper()) if not unicodedata.combining(c))
+    words = re.sub(r"[^A-Z0-9]+", " ", plain).split()
+    while len(words) > 1 and words[0] in ("STE", "SOCIETE", "SA"):
+        words = words[1:]
+    while len(words) > 1 and (words[-1] in ("SA", "SARL") or words[-2:] in (["S", "A"], ["SOCIETE", "ANONYME"])) and not (len(words) == 2 and words[-1] not in ("SA", "SARL")):
+        words = words[: -1 if words[-1] in ("SA", "SARL") else -2]
+    return by_key.get(" ".join(words))
+
+
+def year_of(text):
+    t = "".join(str(unicodedata.digit(c)) if c.isdigit() else c for c in text or "").replace("O", "0")
+    found = re.search(r"(?<!\d)\d{4}(?!\d)", re.sub(r"(?<=\d)\s+(?=\d)", "", t))
+    return int(found[0]) if found else None
+
+
+def exported_amount(text):
+    """An amount of the second copy by hand: a comma or a lone dot is the decimal sign there."""
+    t = "".join((text or "").split()).replace(",", ".")
+    if not any(map(str.isdigit, t)):
+        return None
+    size = float(re.sub(r"[^0-9.]", "", t))
+    return -size if t[0] in "-(" else size
+
+
+def brute_differences(spark, folder):
+    """All cases of problem 3 by plain loops over whole tables."""
+    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet").collect()
+    by_key = {}
+    for r in read("emetteurs"):
+        for t in (r.nom, r.ticker):
+            by_key.setdefault(re.sub(r"[^A-Z0-9]+", " ", (t or "").upper()).strip(), r.nom)
+    by_key.pop("", None)
+    bounds = next(r for r in read("profil_attendu") if r.colonne == "annee")
+    first, second = {}, {}
+    for r in read("data_cifen"):
+        nom = company_of(r.entreprise, by_key)
+        if nom and r.annee is not None and bounds.borne_min <= r.annee <= bounds.borne_max:
+            first[nom, r.annee] = max(first.get((nom, r.annee), (r.maj_le, r.row_id, r)), (r.maj_le, r.row_id, r), key=lambda x: x[:2])
+    seen = {}
+    for r in read("data_verification"):
+        nom, year, code = company_of(r.entreprise, by_key), year_of(r.annee), (r.code_cifen or "").strip().lower()
+        if nom and year:
+            k = (nom, year, code)
+            seen[k] = max(seen.get(k, (r.verifie_le, r.ver_id, r)), (r.verifie_le, r.ver_id, r), key=lambda x: x[:2])
+    for (nom, year, code), (_, _, r) in seen.items():
+        second.setdefault((nom, year), {})[code] = exported_amount(r.valeur_rapport_reel)
+    spelt = {r.code.lower(): r.code for r in read("champs_cifen")}
+    codes = {c for _, _, c in seen} & set(spelt)
+    out = set()
+    for k in {*first, *second}:
+        if k not in first or k not in second:
+            out.add((*k, "*", "absent_cifen" if k not in first else "absent_verification"))
+            continue
+        for c in codes:
+            x, y = first[k][2][c], second[k].get(c)
+            x = None if x is None or math.isnan(x) else x
+            if (x is None) != (y is None) or x is not None and abs(x - y) > 0.005:
+                out.add((*k, spelt[c], "ecart"))
+    return out
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_differences_equal_brute_force(spark, sf):
+    """Every case of the whole tables, and no other."""
+    got = [tuple(r) for r in registry.queries()["p3_found"](spark, f"{DATA}/{sf}").collect()]
+    want = brute_differences(spark, f"{DATA}/{sf}")
+    assert len(got) == len(set(got)) and {k[3] for k in want} == {"ecart", "absent_cifen", "absent_verification"}
+    assert (sorted(set(got) - want), sorted(want - set(got))) == ([], [])
+
+
+def test_exported_amounts_have_any_count_of_decimals(spark):
+    cases = {"490380658.6800": 490380658.68, "-120073180.1500": -120073180.15, "0.5": 0.5, "1234567.890": 1234567.89, "1.234": 1234.0, "12.345.678": 12345678.0, "1 234,5600": 1234.56, "(1.5000)": -1.5, "-": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", parse_amount(F.col("t"), ANY_DECIMALS).alias("x"))
+    assert {r.t: r.x for r in df.collect()} == cases
 
 
 def test_order_statistics_and_distances_over_many_partitions(spark):
