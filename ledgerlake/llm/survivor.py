@@ -1,9 +1,10 @@
 """Problem 2: one surviving record for each report file, field by field.
 
 The method: fields are unpivoted to long rows, every row votes for its normalised value with the trust in its source
-and the recency of its collection, the winner of each group and field is taken by ``max_by``, and the winners are
-pivoted back. Votes are either summed per value (``consensus``) or, where one row must supply the field, a value's
-vote is that of its strongest row, compared by trust, then recency, then identity (``strongest``).
+times the decay of its age, the votes of a value are summed, the winner of each group and field is taken by ``max_by``,
+and the winners are pivoted back. ``consensus`` sums the votes in doubles. ``strict`` is the same sum for a base of
+trust and decay so large that every row outweighs all weaker ones together: such a sum no longer fits a double, but
+its order is that of its leading term, the strongest row, so that term stands for the sum.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.session import broadcast_if_small
+from ledgerlake.functions.parse import let
+from ledgerlake.session import broadcast_if_small, written
 from ledgerlake.sources.tables import table
 
 #: Usable values of the three fields.
@@ -25,24 +27,25 @@ LOCAL_MARK = r"^\s*\[local\]\s*"
 
 def unescape(text: Column) -> Column:
     """Percent escapes decoded as UTF-8 where they are well formed, else left; a plus sign stays."""
-    safe = F.regexp_replace(F.regexp_replace(text, r"%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B")
-    return F.coalesce(F.try_url_decode(safe), text)
+    safe = F.replace(F.regexp_replace(text, r"%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))
+    return F.when(F.contains(text, F.lit("%")), F.coalesce(F.try_url_decode(safe), text)).otherwise(text)
 
 
 def file_key(url: Column, title: Column) -> Column:
     """What names a report's PDF: its file name without host, path, query, case, escapes, separators and copy marks.
 
-    Rows without URL are named by the title. Null where neither holds a name.
+    Rows without URL are named by the title. Null where neither holds a name. Every step is bound by ``let``, so that
+    none is evaluated again by a branch that names it twice.
     """
-    path = F.regexp_replace(F.trim(url), r"[?#].*$", "")
-    from_url = F.regexp_extract(path, r"([^/]*)/*$", 1)
+    path = F.substring_index(F.substring_index(F.trim(url), "?", 1), "#", 1)
+    from_url = F.substring_index(F.rtrim(path, F.lit("/")), "/", -1)
     from_title = F.regexp_extract(F.regexp_replace(F.lower(title), LOCAL_MARK, ""), r"([^/\\]*)$", 1)
-    raw = F.when(F.length(F.trim(F.coalesce(url, F.lit("")))) > 0, unescape(unescape(from_url))).otherwise(from_title)
-    name = F.lower(F.regexp_replace(F.trim(raw), r"(?i)\.pdf(?=$|[\s(\[-])", ""))
-    flat = F.trim(F.regexp_replace(F.regexp_replace(name, r"[_+\s ]+", " "), r"(?<=\w)-(?=\w)", " "))
-    bare = F.regexp_replace(flat, COPY_MARKS, "")
-    key = F.trim(F.regexp_replace(bare, r"[\s\-]+", " "))
-    return F.when(key != "", key)
+    decoded = let(let(from_url, unescape), unescape)
+    raw = F.when(F.length(F.trim(F.coalesce(url, F.lit("")))) > 0, decoded).otherwise(from_title)
+    name = F.regexp_replace(F.lower(F.trim(raw)), r"\.pdf(?=$|[\s(\[-])", "")
+    flat = F.trim(F.regexp_replace(F.regexp_replace(name, r"[_+\s\u00a0]+", " "), r"(?<=\w)-(?=\w)", " "))
+    bare = let(flat, lambda f: F.when(f.rlike(r"[)\]]$|cop(?:ie|y)"), F.regexp_replace(f, COPY_MARKS, "")).otherwise(f))
+    return F.nullif(F.trim(F.regexp_replace(bare, r"[\s\-]+", " ")), F.lit(""))
 
 
 def in_range(column: str) -> Column:
@@ -51,61 +54,70 @@ def in_range(column: str) -> Column:
     return usable if high is None else usable & (F.col(column) <= high)
 
 
-def long_votes(rows: DataFrame, trust: DataFrame, fields: list[str]) -> DataFrame:
-    """(cle, champ, valeur, cand_id, rang, collecte_le): one row for each usable value; sources without rank come last."""
-    ranked = rows.join(broadcast_if_small(trust.groupBy("source").agg(F.min("rang").alias("rang"))), "source", "left")
-    cells = F.array(*[F.struct(F.lit(c).alias("champ"), F.when(in_range(c), F.col(c).cast("long")).alias("valeur")) for c in fields])
-    return (
-        ranked.withColumn("rang", F.coalesce(F.col("rang").cast("long"), F.lit(1 << 30)))
-        .select("cle", "cand_id", "rang", "collecte_le", F.inline(cells))
-        .where("valeur is not null")
-    )
+def keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """(cle, cand_id, rang, collecte_le, fields): candidates with the name of their file and the trust in their source,
+    sources without rank last. Written once: the name is dear, and a filter on it would compute it again."""
+    rows = table(spark, folder, "doc_candidates", "cand_id", "titre", "url_pdf", "source", "collecte_le", *USABLE).where("cand_id is not null")
+    trust = table(spark, folder, "sources_collecte", "source", "rang").groupBy("source").agg(F.min("rang").alias("rang"))
+    named = rows.select(file_key(F.col("url_pdf"), F.col("titre")).alias("cle"), "cand_id", "source", F.col("collecte_le").cast("timestamp").alias("collecte_le"), *USABLE)
+    ranked = named.join(broadcast_if_small(trust), "source", "left").drop("source")
+    return written(ranked.withColumn("rang", F.coalesce(F.col("rang").cast("long"), F.lit(1 << 30)))).where("cle is not null")
 
 
-def winners(votes: DataFrame, mode: str = "strongest") -> DataFrame:
-    """(cle, champ, valeur, cand_id) of each group and field. Both aggregates combine before they shuffle."""
-    strength = F.struct(-F.col("rang"), F.coalesce(F.col("collecte_le").cast("timestamp"), F.lit("0001-01-01").cast("timestamp")), -F.col("cand_id"))
-    if mode == "strongest":
-        vote = F.max(strength)
-    else:
-        newest = F.unix_timestamp(F.lit("2030-01-01").cast("timestamp"))
-        age = (newest - F.unix_timestamp(F.col("collecte_le").cast("timestamp"))) / 86400.0
-        weight = F.pow(F.lit(TRUST_STEP), -F.least(F.col("rang"), F.lit(60))) * F.pow(F.lit(0.5), F.coalesce(age, F.lit(1e6)) / HALF_LIFE_DAYS)
-        vote = F.struct(F.sum(weight).alias("w"), F.max(strength).alias("s"))
-    values = votes.groupBy("cle", "champ", "valeur").agg(vote.alias("vote"), F.max_by("cand_id", strength).alias("cand_id"))
-    return values.groupBy("cle", "champ").agg(F.max_by("valeur", "vote").alias("valeur"), F.max_by("cand_id", "vote").alias("cand_id"))
+def long_votes(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """(cle, champ, valeur, cand_id, rang, collecte_le): one row for each usable value, and one without field for each
+    row, which counts the group."""
+    cells = [F.struct(F.lit(c).alias("champ"), F.when(in_range(c), F.col(c).cast("long")).alias("valeur")) for c in fields]
+    whole = F.struct(F.lit("").alias("champ"), F.lit(None).cast("long").alias("valeur"))
+    return rows.select("cle", "cand_id", "rang", "collecte_le", F.inline(F.array(whole, *cells))).where("valeur is not null or champ = ''")
 
 
-def keyed(candidates: DataFrame) -> DataFrame:
-    return candidates.withColumn("cle", file_key(F.col("url_pdf"), F.col("titre"))).where("cle is not null and cand_id is not null")
+def weight() -> Column:
+    """Trust of the source times recency of the collection; a row without time votes with next to nothing."""
+    newest = F.unix_timestamp(F.lit("2030-01-01").cast("timestamp"))
+    age = (newest - F.unix_timestamp("collecte_le")) / 86400.0
+    return F.pow(F.lit(TRUST_STEP), -F.least(F.col("rang"), F.lit(60))) * F.pow(F.lit(0.5), F.coalesce(age, F.lit(1e6)) / HALF_LIFE_DAYS)
 
 
-def groups_of(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("cle").agg(F.min("cand_id").alias("groupe"), F.count(F.lit(1)).alias("lignes"))
+def summed_votes(votes: DataFrame, mode: str = "strict") -> DataFrame:
+    """(cle, champ, valeur, vote, cand_id, lignes, groupe): the votes of each value, combined before the shuffle.
+
+    ``vote`` orders the sums: their leading term (``strict``), or the sum in doubles and among equal sums the leading
+    term (``consensus``). ``cand_id`` is the value's strongest row.
+    """
+    lead = F.max(F.struct(-F.col("rang"), F.coalesce("collecte_le", F.lit("0001-01-01").cast("timestamp")), -F.col("cand_id"))).alias("lead")
+    total = F.sum(weight()) if mode == "consensus" else F.max(F.lit(0.0))
+    sums = votes.groupBy("cle", "champ", "valeur").agg(lead, total.alias("total"), F.count(F.lit(1)).alias("lignes"), F.min("cand_id").alias("groupe"))
+    return sums.select("cle", "champ", "valeur", F.struct("total", "lead").alias("vote"), (-F.col("lead.col3")).alias("cand_id"), "lignes", "groupe")
 
 
-COLUMNS = ["cand_id", "titre", "url_pdf", "source", "collecte_le", *USABLE]
+def survivors(rows: DataFrame, fields: list[str], mode: str = "strict") -> DataFrame:
+    """(groupe, cle, lignes, and of each field its value and ``_cand_id``): one record for each file name.
+
+    A field without usable value is null, and so is its row. A hot name is combined before each of the three shuffles.
+    """
+    sums = summed_votes(long_votes(rows, fields), mode)
+    best = sums.groupBy("cle", "champ").agg(F.max_by(F.struct("valeur", "cand_id"), "vote").alias("b"), F.max("lignes").alias("lignes"), F.min("groupe").alias("groupe"))
+    of = lambda c, value: F.max(F.when(F.col("champ") == c, value))
+    picked = [x for c in fields for x in (of(c, F.col("b.valeur")).alias(c), of(c, F.col("b.cand_id")).alias(f"{c}_cand_id"))]
+    return best.groupBy("cle").agg(of("", F.col("groupe")).alias("groupe"), of("", F.col("lignes")).alias("lignes"), *picked).select("groupe", "cle", "lignes", *[x for c in fields for x in (c, f"{c}_cand_id")])
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    """The row that supplies each field of each report with two rows or more.
+    """The row that supplies each field of each report with two rows or more: the surviving records, unpivoted.
 
     Rows whose file has no name take no part; repeated rows are rows; a field without usable value gives no row.
     """
-    rows = keyed(table(spark, folder, "doc_candidates", *COLUMNS))
-    best = winners(long_votes(rows, table(spark, folder, "sources_collecte"), list(USABLE)))
-    return groups_of(rows).where("lignes >= 2").join(best, "cle").select("groupe", "champ", "cand_id")
+    records = survivors(keyed(spark, folder), list(USABLE)).where("lignes >= 2")
+    cells = F.array(*[F.struct(F.lit(c).alias("champ"), F.col(f"{c}_cand_id").alias("cand_id")) for c in USABLE])
+    return records.select("groupe", F.inline(cells)).where("cand_id is not null")
 
 
-def p2_survivors(spark: SparkSession, folder: str, mode: str = "strongest") -> DataFrame:
+def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     """One record for each report, single rows included: the winning value of each field and the row it comes from."""
-    rows = keyed(table(spark, folder, "doc_candidates", *COLUMNS))
-    best = winners(long_votes(rows, table(spark, folder, "sources_collecte"), list(USABLE)), mode)
-    wide = best.groupBy("cle").pivot("champ", list(USABLE)).agg(F.first("valeur").alias("valeur"), F.first("cand_id").alias("cand_id"))
-    picked = [x for c in USABLE for x in (F.col(f"{c}_valeur").alias(c), F.col(f"{c}_cand_id").alias(f"{c}_cand_id"))]
-    return groups_of(rows).join(wide, "cle", "left").select("groupe", "cle", "lignes", *picked)
+    return survivors(keyed(spark, folder), list(USABLE))
 
 
 def p2_consensus(spark: SparkSession, folder: str) -> DataFrame:
-    """Survivors by summed trust and recency votes instead of the strongest row."""
-    return p2_survivors(spark, folder, "consensus")
+    """Survivors by sums of trust and recency votes, in which many weak rows can outvote a strong one."""
+    return survivors(keyed(spark, folder), list(USABLE), "consensus")

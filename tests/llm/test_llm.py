@@ -81,11 +81,15 @@ def test_file_names_mean_one_report(spark):
 
 
 def test_votes_summed_or_strongest(spark):
-    votes = spark.createDataFrame([("g", "annee", 2020, 1, 1, "2025-01-01"), ("g", "annee", 2021, 2, 2, "2025-01-01"), ("g", "annee", 2021, 3, 2, "2025-01-01"), ("g", "annee", 2021, 4, 2, None)], "cle string, champ string, valeur long, cand_id long, rang long, d string").withColumn("collecte_le", F.col("d").cast("timestamp"))
-    assert survivor.winners(votes).first().valeur == 2020
-    more = votes.unionByName(votes.where("valeur = 2021").withColumn("cand_id", F.col("cand_id") + 10))
-    assert survivor.winners(more, "consensus").first().valeur == 2021
-    assert survivor.winners(more).first().cand_id == 1
+    rows = [("g", 1, 1, "2025-01-01", 2020, 0, 50), ("g", 2, 2, "2025-01-01", 2021, 7, None), ("g", 3, 2, "2025-01-01", 2021, 9, 101), ("g", 4, 2, None, 2021, 9, None), ("h", 9, 1, None, None, None, None)]
+    df = spark.createDataFrame(rows, "cle string, cand_id long, rang long, d string, annee int, nb_pages int, score int").withColumn("collecte_le", F.col("d").cast("timestamp"))
+    fields = list(survivor.USABLE)
+    got = {r.cle: r for r in survivor.survivors(df, fields).collect()}
+    assert tuple(got["g"])[:3] == (1, "g", 4) and (got["g"].annee, got["g"].annee_cand_id, got["g"].nb_pages, got["g"].nb_pages_cand_id, got["g"].score) == (2020, 1, 7, 2, 50)
+    assert tuple(got["h"]) == (9, "h", 1, None, None, None, None, None, None)
+    more = df.unionByName(df.where("annee = 2021").withColumn("cand_id", F.col("cand_id") + 10))
+    assert {r.cle: r.annee for r in survivor.survivors(more, fields, "consensus").collect()}["g"] == 2021
+    assert {r.cle: (r.annee, r.annee_cand_id, r.lignes) for r in survivor.survivors(more, fields).collect()}["g"] == (2020, 1, 7)
 
 
 def test_labels_are_repaired(spark):
