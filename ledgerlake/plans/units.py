@@ -7,30 +7,19 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.companies import resolve_company
 from ledgerlake.functions.parse import BLANK, DASH, amount_text
-from ledgerlake.operators.aliases import alias_dictionary
+from ledgerlake.operators.aliases import LETTERS, alias_dictionary
 from ledgerlake.plans.quality import accounts
-from ledgerlake.session import broadcast_if_small, cut, written
+from ledgerlake.session import broadcast_if_small, cut, is_small, written
 from ledgerlake.sources.tables import table
 
-#: Units and the ways they are written, folded and in lower case.
-ALIASES = {
-    "DH": ["dh", "dhs", "mad", "dirham", "dirhams", "dirhams courants", "unites de dirham", "unites de dirhams", "mad (unites)", "unites", "dirhams (unites)"],
-    "KDH": ["kdh", "k dh", "kmad", "k mad", "milliers de dirhams", "milliers de dh", "milliers dh", "milliers de mad", "milliers mad", "mille dirhams", "mille dh", "000 dh", "000 mad", "10^3 dh", "10^3 mad"],
-    "MDH": ["mdh", "m dh", "mmad", "m mad", "millions de dirhams", "millions de dh", "millions dh", "million de dh", "million de dirhams", "millions de mad", "millions mad", "mns dh", "mio dh", "10^6 dh", "10^6 mad"],
-    "GDH": ["gdh", "g dh", "gmad", "mrd dh", "mrds dh", "mds mad", "mds dh", "md dh", "milliards mad", "milliards de mad", "milliards dh", "milliards de dh", "milliards de dirhams", "milliard de dirhams", "10^9 dh", "10^9 mad"],
-    "CDH": ["cts", "cts dh", "ct", "centimes", "centimes de dirham", "centimes de dirhams", "cmad", "c mad", "cdh"],
-    "EUR": ["eur", "euro", "euros", "€"],
-    "KEUR": ["keur", "k eur", "k€", "k €", "000 eur", "000 €", "milliers d'euros", "milliers euros", "milliers eur", "10^3 eur"],
-    "MEUR": ["meur", "m eur", "m€", "m €", "millions d'euros", "million d'euros", "millions eur", "millions euros", "10^6 eur"],
-    "KUSD": ["kusd", "k usd", "k$", "k $", "000 usd", "000 $", "milliers usd", "milliers de dollars", "milliers de usd", "10^3 usd"],
-    "MUSD": ["musd", "m usd", "m$", "m $", "millions usd", "millions de dollars", "million de dollars", "millions de usd", "10^6 usd"],
-}
-#: What a unit is worth, in its currency.
-SCALE = {"DH": 1.0, "KDH": 1e3, "MDH": 1e6, "GDH": 1e9, "CDH": 0.01, "EUR": 1.0, "KEUR": 1e3, "MEUR": 1e6, "KUSD": 1e3, "MUSD": 1e6}
-#: Phrases of a caption after which the unit of the table's amounts follows.
-CAPTION_UNIT = r"(?i)(?:\[|exprim[ée]e?s? en |chiffres en |unit[ée]\s*:\s*|contraire,? en |\(en |montants en )([^\])(;–—/]+)"
-CAPTION_COLUMN = r"(?i)colonne (\d{4})\s*:\s*([^,;/()\[\]–—]+)"
-CAPTION_RANK = (r"(?:\(N en |exercice en )([^;,)(–—]+)", r"(?:N-1 en |précédent en |precedent en )([^;,)(–—]+)")
+#: The units an amount may be in, as a scale and a currency: dirhams first, then the foreign ones.
+UNITS = ("DH", "KDH", "MDH", "GDH", "CDH", "EUR", "KEUR", "MEUR", "KUSD", "MUSD")
+#: Where a caption's statements end, and what stands before a unit in one.
+CAPTION_CUT, CAPTION_LEAD = r"[;()\[\]–—/|]|,(?!\d)|\. | - ", r"^.*(?:\ben\b|:)\s*"
+#: What a statement names: the column of a year, of the year before, of the year.
+OF_YEAR, OF_BEFORE, OF_NOW = r"(?<!\d)(\d{4})(?!\d)\s*(?:en\b|:)", r"(?i)\bN ?- ?1\b|pr[ée]c[ée]dent|ant[ée]rieur", r"(?i)\bN\b|exercice|ann[ée]e"
+#: What a unit of each scale letter is worth, in its currency.
+SCALE = {letter: 10.0**power for power, letter in LETTERS.items()}
 HEAD = rf"^[{BLANK}(+{DASH}]*\d"
 CELL = rf"{HEAD}[\d.,'’{BLANK}]*[){DASH}]?(.*)$"
 FIELDS = {"value_current": 0, "value_previous": 1}
@@ -52,42 +41,68 @@ def holds_number(cell: Column) -> Column:
     return F.coalesce(cell.rlike(HEAD), F.lit(False))
 
 
-def caption_column(caption: Column, year: Column, back: int) -> Column:
-    """What a caption says of the column of ``year``, the one ``back`` years before the table's."""
-    years = F.regexp_extract_all(caption, F.lit(CAPTION_COLUMN), F.lit(1))
-    units = F.regexp_extract_all(caption, F.lit(CAPTION_COLUMN), F.lit(2))
-    at = F.array_position(years, year.cast("string")).cast("int")
-    by_year = F.when(caption.contains("colonne") & (at > 0), text_of(F.get(units, at - 1)))
-    by_rank = F.when(caption.contains("N-1 en ") | caption.contains("dent en "), text_of(F.regexp_extract(caption, CAPTION_RANK[back], 1)))
-    return F.coalesce(by_year, by_rank)
+def caption_statements(caption: Column) -> Column:
+    """(role, mot) of each statement of a caption that may tell a unit: the unit's spelling, and as its role the year of
+    the column it is for, ``avant``, ``exercice``, or blank for the whole table.
+
+    A caption is cut at punctuation; what follows ``en`` or a colon, else the whole piece, is the spelling. A piece with
+    an amount tells no unit of the table (``capital de 12 MDH``).
+    """
+    def role(piece: Column) -> Column:
+        year = F.regexp_extract(piece, OF_YEAR, 1)
+        return F.when(year != "", year).when(piece.rlike(OF_BEFORE), "avant").when(piece.rlike(OF_NOW), "exercice").otherwise("")
+
+    pieces = F.transform(F.split(caption, CAPTION_CUT), lambda p: F.struct(p.alias("piece"), text_of(F.regexp_replace(p, CAPTION_LEAD, "")).alias("mot")))
+    kept = F.filter(pieces, lambda s: ~s["mot"].rlike("[1-9]") | s["mot"].rlike(r"^\s*1(?:0\^\d|0*\s)"))
+    return F.when(caption.rlike(r"(?i)\ben\b|[:\[(–—]"), F.transform(kept, lambda s: F.struct(role(s["piece"]).alias("role"), s["mot"].alias("mot"))))
 
 
 def stated(spark: SparkSession, folder: str) -> DataFrame:
     """Fields with the spellings of every place that may state a unit; one scan."""
     df = table(spark, folder, "extracted_fields", "field_id", "tableau_id", "entreprise", "annee", "code", "value_current", "value_previous", "unite", "legende")
-    caption = F.col("legende")
     return df.select(
-        "field_id", "tableau_id", "entreprise", "annee", "code", *FIELDS,
-        *[cell_unit(F.col(c)).alias(f"c{i}") for c, i in FIELDS.items()],
-        text_of(F.col("unite")).alias("u"),
-        text_of(F.when(caption.isNotNull(), F.regexp_extract(caption, CAPTION_UNIT, 1))).alias("t"),
-        *[caption_column(caption, F.col("annee") - i, i).alias(f"t{i}") for i in FIELDS.values()],
+        "field_id", "tableau_id", "entreprise", "annee", "code", *FIELDS, *[cell_unit(F.col(c)).alias(f"c{i}") for c, i in FIELDS.items()],
+        text_of(F.col("unite")).alias("u"), "legende", caption_statements(F.col("legende")).alias("t"),
     )
 
 
-PLACES = ["c0", "c1", "u", "t", "t0", "t1"]
+#: Distinct spellings up to which the dictionary goes to the workers.
+SMALL_DICTIONARY = 20_000
 
 
-def with_units(fields: DataFrame) -> DataFrame:
-    """Fields with unit columns k0 and k1: what cell, ``unite`` or caption state of either amount, null if nothing."""
-    spellings = fields.select(F.explode(F.array_compact(F.array_distinct(F.array(*PLACES)))).alias("mot")).distinct()
-    known = broadcast_if_small(cut(alias_dictionary(spellings, ALIASES)))
-    out = fields
-    for place in PLACES:
-        out = out.join(known.withColumnsRenamed({"mot": f"m_{place}", "entree": f"e_{place}"}), F.col(place) == F.col(f"m_{place}"), "left")
-    return out.select(
-        "field_id", "tableau_id", "entreprise", "annee", "code", *FIELDS, *[F.coalesce(f"e_c{i}", "e_u", f"e_t{i}", "e_t").alias(f"k{i}") for i in FIELDS.values()]
-    )
+def with_units(fields: DataFrame, small: int = SMALL_DICTIONARY) -> DataFrame:
+    """Fields with unit columns k0 and k1: what cell, ``unite`` or caption state of either amount, null if nothing.
+
+    A small dictionary is broadcast to joins of each place. A larger one meets the places as rows of one join, so that
+    fields without any spelling take no part in the shuffle, and what is found goes back to its field.
+    """
+    words = F.array_compact(F.concat(F.array("c0", "c1", "u"), F.coalesce(F.transform("t", lambda s: s["mot"]), F.array().cast("array<string>"))))
+    known = cut(alias_dictionary(fields.select(F.explode(F.array_distinct(words)).alias("mot")).distinct()))
+    caption = F.col("t")
+    if is_small(known, small):
+        # captions are repeated by table: their distinct statements are mapped as a table of their own
+        said = fields.where(F.size("t") > 0).groupBy("legende").agg(F.first("t").alias("t")).select("legende", F.inline("t")).join(F.broadcast(known), "mot")
+        mapped = cut(said.groupBy("legende").agg(F.collect_list(F.struct("role", "entree")).alias("m")))
+        out = fields
+        for place in ("c0", "c1", "u"):
+            out = out.join(F.broadcast(known.withColumnsRenamed({"mot": f"m_{place}", "entree": f"e_{place}"})), F.col(place) == F.col(f"m_{place}"), "left")
+        out = out.join(broadcast_if_small(mapped, small), "legende", "left")
+    else:
+        empty = F.array().cast("array<struct<role:string,mot:string>>")
+        places = F.concat(F.array(*[F.struct(F.lit(p).alias("role"), F.col(p).alias("mot")) for p in ("c0", "c1", "u")]), F.coalesce(F.transform(caption, lambda s: F.struct(F.concat(F.lit("t"), s["role"]).alias("role"), s["mot"].alias("mot"))), empty))
+        each = fields.select("field_id", F.inline(places)).where("mot is not null").join(known, "mot")
+        of = lambda p: F.max(F.when(F.col("role") == p, F.col("entree"))).alias(f"e_{p}")
+        said = F.collect_list(F.when(F.col("role").startswith("t"), F.struct(F.substring("role", 2, 12).alias("role"), "entree"))).alias("m")
+        out = fields.join(each.groupBy("field_id").agg(of("c0"), of("c1"), of("u"), said), "field_id", "left")
+
+    def from_caption(back: int) -> Column:
+        """A statement of the column's year, then of its rank, then of the table; ``exercice`` alone is of the table."""
+        said = F.col("m")
+        first = lambda role: F.get(F.filter(said, lambda s: s["role"] == role), F.lit(0))["entree"]
+        ranked = F.when(F.exists(said, lambda s: s["role"] == "avant"), first("avant" if back else "exercice"))
+        return F.coalesce(first((F.col("annee") - back).cast("string")), ranked, first(""), F.when(~F.exists(said, lambda s: s["role"] == "avant"), first("exercice")))
+
+    return out.select("field_id", "tableau_id", "entreprise", "annee", "code", *FIELDS, *[F.coalesce(f"e_c{i}", "e_u", from_caption(i)).alias(f"k{i}") for i in FIELDS.values()])
 
 
 def rates(spark: SparkSession, folder: str) -> Column:
@@ -102,7 +117,7 @@ def rates(spark: SparkSession, folder: str) -> Column:
 def worth(unit: str, year: Column, rate: Column) -> Column:
     """Dirhams for one of ``unit`` in ``year``; null where the year has no rate."""
     currency = unit[-3:] if unit[-3:] in ("EUR", "USD") else None
-    scale = F.lit(SCALE[unit])
+    scale = F.lit(SCALE[unit.removesuffix(currency or "DH")])
     return scale if currency is None else rate[F.concat(F.lit(currency), year.cast("string"))] * scale
 
 
@@ -141,11 +156,11 @@ def table_units(spark: SparkSession, folder: str, silent: DataFrame) -> DataFram
     rate = rates(spark, folder)
     agrees = {
         u: F.abs(F.col("x") * w - F.col("d")) <= F.col("step") * w * 0.51 + F.abs(F.col("d")) * 1e-4
-        for u in ALIASES for w in [worth(u, F.col("an"), rate)]
+        for u in UNITS for w in [worth(u, F.col("an"), rate)]
     }
     compared = joined.where("d is not null and not isnan(d) and d <> 0 and x <> 0")
     votes = compared.groupBy("tableau_id").agg(F.count(F.lit(1)).alias("cells"), *[F.count(F.when(yes, 1)).alias(u) for u, yes in agrees.items()])
-    best = F.array_max(F.array(*[F.struct(F.col(u).alias("n"), F.lit(u == "DH").alias("dh"), F.lit(u).alias("unite")) for u in ALIASES]))
+    best = F.array_max(F.array(*[F.struct(F.col(u).alias("n"), F.lit(u == "DH").alias("dh"), F.lit(u).alias("unite")) for u in UNITS]))
     chosen = votes.select("tableau_id", "cells", best.alias("b"))
     clear = (F.col("b.n") >= F.least(F.col("cells"), F.lit(LEAST_VOTES))) & (F.col("b.n") >= F.col("cells") * LEAST_SHARE)
     return chosen.where(clear).select("tableau_id", F.col("b.unite").alias("unite"))
@@ -170,6 +185,6 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p1_amounts(spark: SparkSession, folder: str) -> DataFrame:
     """Every amount in dirhams; null where it is foreign money of a year without rate."""
     rate = rates(spark, folder)
-    factor = F.coalesce(*[F.when(F.col("unite") == u, worth(u, F.col("an"), rate)) for u in ALIASES])
+    factor = F.coalesce(*[F.when(F.col("unite") == u, worth(u, F.col("an"), rate)) for u in UNITS])
     number = F.regexp_extract("texte", rf"({HEAD}[\d.,'’{BLANK}]*[){DASH}]?)", 1)
     return resolved(spark, folder).select("field_id", "champ", F.col("an").alias("annee"), "unite", (amount_text(number).try_cast("double") * factor).alias("dirhams"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import unicodedata
 
@@ -14,10 +15,11 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.companies import company_key
 from ledgerlake.functions.parse import ANY_DECIMALS, parse_amount, parse_year
 from ledgerlake.operators import datadiff
+from ledgerlake.operators import aliases
 from ledgerlake.operators.aliases import alias_dictionary, weighted_distance
 from ledgerlake.operators.profile import ks_distance, ks_distances, order_statistics, sorted_groups
 from ledgerlake.plans import registry
-from ledgerlake.plans.units import ALIASES
+from ledgerlake.plans import units
 from tests.conftest import DATA
 
 CORE = ["p1_found", "p1_amounts", "p3_found", "p3_differences", "p5_found", "p5_profile"]
@@ -57,13 +59,61 @@ def test_company_spellings_share_a_key(spark):
     assert spark.createDataFrame([("...",), (None,)], "n string").select(company_key(F.col("n")).alias("k")).where("k is not null").count() == 0
 
 
+def entries_of(spark, spellings):
+    return {r.mot: r.entree for r in alias_dictionary(spark.createDataFrame([(w,) for w in spellings], "mot string")).collect()}
+
+
 def test_unit_spellings(spark):
-    wanted = {"KDH": "KDH", "en milliers de dirhams": "KDH", "millers de dirhams": "KDH", "Millions  MAD": "MDH", "k€": "KEUR", "M$": "MUSD", "Mrd DH": "GDH", "cts": "CDH", "N/D": None, "cf. cellules": None, "milions de dirhams": "MDH", "euross": "EUR"}
-    got = {r.mot: r.entree for r in alias_dictionary(spark.createDataFrame([(w,) for w in wanted], "mot string"), ALIASES).collect()}
+    wanted = {
+        "KDH": "KDH", "en milliers de dirhams": "KDH", "millers de dirhams": "KDH", "Millions  MAD": "MDH", "k€": "KEUR", "M$": "MUSD", "Mrd DH": "GDH", "cts": "CDH", "N/D": None, "cf. cellules": None,
+        "milions de dirhams": "MDH", "euross": "EUR", "000 USD": "KUSD", "10^3 dollars": "KUSD", "milliers de dollars": "KUSD", "Mns DH": "MDH", "000 000 EUR": "MEUR", "MAD (unités)": "DH", "dirhams courants": "DH",
+        "milliersdedirhams": "KDH", "société au capital": None, "mars": None, "m²": None, "milliers de titres": None, "12 MDH": None, "": None, " ": None, "md DH": None,
+    }
+    got = entries_of(spark, wanted)
     assert {w: got.get(w) for w in wanted} == wanted
     assert weighted_distance("kdh", "mdh") > weighted_distance("dirham", "dirhams")
 
 
+def test_unit_spellings_beyond_the_words(spark):
+    """Composed and misspelt spellings, none of them in the vocabulary: nearly all are understood, none wrongly."""
+    r = random.Random(5)
+    scales = {0: ["", "unités de "], 3: ["milliers de ", "millier de ", "mille ", "K", "k ", "000 ", "10^3 "], 6: ["millions de ", "million de ", "mns ", "mio ", "M", "m ", "000 000 "], 9: ["milliards de ", "mrd ", "mds ", "G", "g "], -2: ["centimes de ", "centime de ", "cts ", "c"]}
+    currencies = {"DH": ["dirhams", "dirham", "DH", "Dhs", "MAD"], "EUR": ["euros", "euro", "EUR", "€"], "USD": ["dollars", "dollar", "USD", "$"]}
+    listed = {w for w, _, _ in aliases.vocabulary()}
+    spelt = {s + w: aliases.LETTERS[e] + c for e, ss in scales.items() for c, ws in currencies.items() for s in ss for w in ws if len(s) > 2 or len(w) < 4 or not s}
+    plain = {t: u for t, u in spelt.items() if t.lower() not in listed}
+
+    def misspelt(t):
+        m = r.choice(list(re.finditer(r"[A-Za-z]{6,}", t)) or [None])
+        if m is None:
+            return "en " + t.upper()
+        j = r.randrange(m.start() + 1, m.end())
+        return r.choice([t[:j] + t[j + 1 :], t[:j] + t[j] + t[j:], t[:j] + r.choice("aeimnrs") + t[j + 1 :]])
+
+    noisy = {misspelt(t): u for t, u in spelt.items()}
+    for cases, least in ((plain, 1.0), (noisy, 0.9)):
+        got = entries_of(spark, cases)
+        assert {t: got[t] for t in got if got[t] != cases[t]} == {}
+        assert len(got) >= least * len(cases) > 100
+
+
+def test_caption_statements(spark):
+    cases = {
+        "Actif (en KDH)": [("", "KDH")], "CPC / colonne 2020 : KDH, colonne 2019 : MDH": [("2020", "KDH"), ("2019", "MDH")], "Bilan (N en k€ ; N-1 en DH)": [("exercice", "k€"), ("avant", "DH")],
+        "Bilan – exercice en KUSD, exercice précédent en DH": [("exercice", "KUSD"), ("avant", "DH")], "Bilan ; capital social : 12 500 KDH": [], "Etat exprimé en 10^3 DH. Chiffres non audités": [("", "10^3 DH")], "Comptes - montants en euros": [("", "euros")],
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "c string").select("c", F.explode_outer(units.caption_statements(F.col("c"))).alias("s")).select("c", "s.*")
+    rows = [tuple(r) for r in df.collect()]
+    known = entries_of(spark, {m for _, _, m in rows if m})
+    assert {c: [(role, m) for k, role, m in rows if k == c and m in known] for c in cases} == cases
+
+
+def test_a_large_dictionary_gives_the_same_units(spark):
+    fields = units.stated(spark, f"{DATA}/sf0.001").cache()
+    small, large = (units.with_units(fields, n) for n in (20_000, 0))
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0 and small.where("k0 is not null").count() > 0
+
+
 @pytest.mark.parametrize("differing", [0, 3, 400])
 def test_differences_are_found_or_their_bucket_is_compared_whole(spark, differing):
     """With few differences the tables decode; with more than they can tell apart nothing is lost."""
