@@ -2,38 +2,61 @@
 
 The score of a label at a token is a sum over neighbouring tokens of weights of their features, so it is looked up
 per distinct token and offset and added; only the transitions couple neighbours. Training maximises the likelihood of
-the labelled rows by AdaGrad on padded batches; decoding is Viterbi on padded batches.
+the labelled rows by AdaGrad on padded batches; decoding is Viterbi on padded batches. A bound on what any label but
+the first can gain tells the sentences whose best path is plain, so Viterbi runs on the others alone.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import accumulate
 
 import numpy as np
 import regex
 
-#: Tokens: plain e-mail addresses, words and numbers with inner signs, line breaks, single other characters.
-TOKEN = re.compile(r"[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+|[^\W_]+(?:[.\-_+][^\W_]+)*|\n+|\S")
+#: Tokens: plain e-mail addresses, words and numbers with inner signs, line breaks, single other characters; a cell of a
+#: text is a token with the blanks before it.
+_TOKEN = r"(?:[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+|[^\W_]+(?:[.\-_+][^\W_]+)*|\n+|\S)"
+CELL = re.compile(rf"[^\S\n]*{_TOKEN}")
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 BUCKETS = 1 << 15
 #: Distinct tokens whose scores a worker keeps; beyond, it starts afresh, which changes no result.
 TYPES_KEPT = 120_000
 _UPPER, _LOWER = regex.compile(r"\p{Lu}"), regex.compile(r"\p{Ll}")
 _REPEATED, _NUMBER = re.compile(r"(.)\1+"), re.compile(r"[9O.\-]+")
-_DIGITS = {**{ord(c): "9" for c in "0123456789"}, **{ord(c): "9" for c in "٠١٢٣٤٥٦٧٨٩"}}
+_BLANKS = " \t\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_ARABIC_DIGITS = re.compile("[٠-٩]")
 
 
-def tokens(text: str) -> tuple[list[str], list[int], list[int]]:
-    """(keys, starts, ends) of the tokens of a text.
+def flat(text: str) -> str:
+    """The text with every digit as a nine, character by character; passes of ``replace`` are faster than a table."""
+    for digit in "012345678":
+        text = text.replace(digit, "9")
+    return _ARABIC_DIGITS.sub("9", text)
+
+
+def bare(cell: str) -> str:
+    """The token of a cell, without the blanks before it."""
+    return cell.lstrip(_BLANKS)
+
+
+def key_of(cell: str) -> str:
+    """What is the same for all features of a cell: its token, and whether a blank stands before it."""
+    token = bare(cell)
+    return ("_" if len(token) == len(cell) else " ") + token
+
 
-    A key is what is the same for all features: digits count as nine, and the blank before the token belongs to it.
-    """
-    flat = text.translate(_DIGITS)
-    spans = [m.span() for m in TOKEN.finditer(flat)]
-    starts, ends = [s for s, _ in spans], [e for _, e in spans]
-    keys = [(" " if s > last else "_") + flat[s:e] for s, e, last in zip(starts, ends, [0, *ends])]
-    return keys, starts, ends
+def places(cells: list[str]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the tokens: the cells lie one behind another from the start of the text."""
+    ends = list(accumulate(map(len, cells)))
+    return [e - len(bare(c)) for c, e in zip(cells, ends)], ends
+
+
+def tokens(text: str) -> tuple[list[str], list[int], list[int]]:
+    """(keys, starts, ends) of the tokens of a text."""
+    cells = CELL.findall(flat(text))
+    return [key_of(c) for c in cells], *places(cells)
 
 
 def features(key: str) -> list[str]:
@@ -42,14 +65,18 @@ def features(key: str) -> list[str]:
     shape = _LOWER.sub("x", _UPPER.sub("X", word))
     short = _REPEATED.sub(r"\1+", shape)
     kind = "nl" if word[0] == "\n" else "mail" if "@" in word and len(word) > 1 else "num" if _NUMBER.fullmatch(word) else "alpha" if word[0].isalpha() else "other"
-    out = ["1", f"w={lower[:40]}", f"s={short[:12]}", f"k={kind}", f"g={gap}{kind}", f"l={min(len(word), 12)}{kind}"]
+    out = [f"w={lower[:40]}", f"k={kind}", f"s={short[:12]}", f"g={gap}{kind}", f"c={word.isupper()}{word[0].isupper()}{kind}", f"f={shape[:24]}" if kind in ("num", "other") else f"e3={lower[-3:]}"]
+    out += ["1", f"l={min(len(word), 12)}{kind}"]
     if kind == "alpha":
-        out += [f"p2={lower[:2]}", f"p3={lower[:3]}", f"p4={lower[:4]}", f"e2={lower[-2:]}", f"e3={lower[-3:]}", f"e4={lower[-4:]}", f"c={word.isupper()}{word[0].isupper()}", f"i={len(word) == 1 and word.isupper()}"]
-    elif kind in ("num", "other"):
-        out += [f"f={shape[:24]}"]
+        out += [f"p2={lower[:2]}", f"p3={lower[:3]}", f"p4={lower[:4]}", f"e2={lower[-2:]}", f"e4={lower[-4:]}", f"i={len(word) == 1 and word.isupper()}"]
     return out
 
 
+#: How many of a token's features count at each offset: all for the token itself, the first ones for its neighbours, so
+#: that a sentence is not learnt by heart.
+COUNTED = {0: 99, 1: 6, 2: 3, 3: 3}
+
+
 def stable_hash(s: str) -> int:
     h = 2166136261
     for b in s.encode():
@@ -57,17 +84,10 @@ def stable_hash(s: str) -> int:
     return h % BUCKETS
 
 
-def boundaries(keys: list[str]) -> list[int]:
-    """Ends of the segments that are decoded on their own: after a full stop that follows a long lower-case word, a
-    closing bracket, a percent sign or a mail address, so never within an entity, and none if there is no such stop."""
-    out = []
-    for i in range(1, len(keys)):
-        if keys[i] in ("_.", "_!", "_?") and i + 1 < len(keys) and (keys[i + 1][0] == " " or keys[i + 1][1] == "\n"):
-            before = keys[i - 1][1:]
-            if (len(before) >= 4 and before.islower()) or before in ("%", ")") or (len(before) >= 4 and before[0] > "؀"):
-                out.append(i + 1)
-    out.append(len(keys))
-    return out
+def stop_flags(key: str) -> int:
+    """1: a full stop; 2: may begin a sentence; 4: may end one before its stop (a long lower-case word, a bracket, a sign)."""
+    word = key[1:]
+    return (word in (".", "!", "?") and key[0] == "_") + 2 * (key[0] == " " or word[0] == "\n") + 4 * ((len(word) >= 4 and (word.islower() or word[0] > "\u0600")) or word in ("%", ")"))
 
 
 def summed(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
@@ -75,6 +95,17 @@ def summed(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(at, weights=rows[:, c], minlength=size) for c in range(rows.shape[1])], axis=1)
 
 
+class Rows(dict):
+    """Row numbers by cell; a new cell is scored when it is looked up."""
+
+    def __init__(self, add):
+        self.add = add
+
+    def __missing__(self, cell: str) -> int:
+        i = self[cell] = self.add(cell)
+        return i
+
+
 class Model:
     """Weights by offset, hashed feature and label, transitions and starts."""
 
@@ -84,10 +115,16 @@ class Model:
         self.w = np.zeros((len(OFFSETS), BUCKETS, k), np.float32)
         self.t = np.zeros((k, k), np.float32)
         self.s = np.zeros(k, np.float32)
-        self.rows: dict[str, int] = {}
-        self.store = np.zeros((len(OFFSETS), 1024, k), np.float32)
+        self.clear()
         self.forbidden()
 
+    def clear(self) -> None:
+        """An empty table of label scores by token; rows 0 and 1 are beyond a text's ends and of no token."""
+        self.rows: dict[str, int] = {}
+        self.cells = Rows(self.row_of)
+        self.store = np.zeros((len(OFFSETS), 1024, len(self.labels)), np.float32)
+        self.flags = np.zeros(1024, np.int8)
+
     def forbidden(self) -> None:
         """An inside label follows only its own begin or inside label."""
         self.bar = np.zeros((len(self.labels),) * 2, np.float32)
@@ -100,46 +137,74 @@ class Model:
 
     # decoding ---------------------------------------------------------------------------------------------------
 
-    def type_rows(self, keys: list[str]) -> np.ndarray:
-        """Row numbers of the token keys in the table of label scores; new keys are scored, a full table starts afresh."""
-        if len(self.rows) > TYPES_KEPT:
-            self.rows.clear()
-        fresh = [k for k in dict.fromkeys(keys) if k not in self.rows]
-        for k in fresh:
-            i = len(self.rows) + 1  # row 0 is beyond the text's ends
+    def row_of(self, cell: str) -> int:
+        """Row of a new cell in the table; cells that differ in the kind of blank share one."""
+        key = key_of(cell)
+        if key not in self.rows:
+            i = self.rows[key] = len(self.rows) + 1
             if i >= self.store.shape[1]:
                 self.store = np.concatenate([self.store, np.zeros_like(self.store)], axis=1)
-            self.store[:, i] = self.w[:, [stable_hash(f) for f in features(k)]].sum(axis=1)
-            self.rows[k] = i
-        return np.fromiter(map(self.rows.__getitem__, keys), np.int32, len(keys))
-
-    def decode(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Best label numbers of each text's token keys."""
-        out = [np.zeros(len(k), np.int8) for k in texts]
-        segments = []
-        for n, keys in enumerate(texts):
-            if not keys:
-                continue
-            rows = self.type_rows(keys)
-            padded = np.r_[np.zeros(3, np.int32), rows, np.zeros(3, np.int32)]
-            emit = sum(self.store[i, padded[3 + o : 3 + o + len(keys)]] for i, o in enumerate(OFFSETS))
-            start = 0
-            for end in boundaries(keys):
-                if end > start:
-                    segments.append((end - start, n, start, emit[start:end]))
-                start = end
-        segments.sort(key=lambda s: s[0])
-        at = 0
-        while at < len(segments):
-            longest = segments[at][0]
-            stop = at
-            # neighbours in length, at most about 200 000 cells
-            while stop < len(segments) and (segments[stop][0] <= longest * 1.25 + 2) and (stop - at + 1) * segments[stop][0] <= 20_000 or stop == at:
-                stop += 1
-            batch = segments[at:stop]
-            for (size, n, start, _), path in zip(batch, self.viterbi([b[3] for b in batch])):
-                out[n][start : start + size] = path
-            at = stop
+                self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
+            hashes = [stable_hash(f) for f in features(key)]
+            for k, o in enumerate(OFFSETS):
+                self.store[k, i] = self.w[k, hashes[: COUNTED[abs(o)]]].sum(axis=0)
+            self.flags[i] = stop_flags(key)
+        return self.rows[key]
+
+    def decode(self, texts: list[list[str]]) -> list[np.ndarray | None]:
+        """Best label numbers of each text's cells; None where all are the first label.
+
+        All texts lie behind one another, three empty places apart, so scores, sentence ends and the bound are computed
+        for all at once.
+        """
+        if len(self.cells) > TYPES_KEPT:
+            self.clear()
+        get, gap = self.cells.__getitem__, len(OFFSETS) // 2
+        rows: list[int] = [0] * gap
+        begins = []
+        for cells in texts:
+            begins.append(len(rows))
+            rows.extend(map(get, cells))
+            rows += [0] * gap
+        at = np.array(rows, np.int32)
+        n = len(at) - 2 * gap
+        out: list[np.ndarray | None] = [None] * len(texts)
+        if n <= 0:
+            return out
+        emit = np.zeros((len(at), len(self.labels)), np.float32)
+        inner = emit[gap : len(at) - gap]
+        for i, o in enumerate(OFFSETS):
+            inner += self.store[i].take(at[gap + o : gap + o + n], axis=0)
+        trans = self.t + self.bar
+        into = trans.max(axis=0)
+        # a path that leaves the first label once gains no more than this at its tokens and on its way back
+        back = max(0.0, float((trans[1:, 0] - trans[0, 0]).max()))
+        gain = (emit[:, 1:] + into[1:]).max(axis=1) - (emit[:, 0] + trans[0, 0])
+        start = max(0.0, float((self.s + self.bar_start)[1:].max() - self.s[0]))
+        suspect = (gain + back + start > 0) & (at > 0)
+        flags = self.flags[at]
+        stops = (flags[1:-1] & 1 > 0) & (flags[2:] & 2 > 0) & (flags[:-2] & 4 > 0)
+        ends = np.flatnonzero(stops) + 2
+        bounds = np.array([(b, b + len(c)) for b, c in zip(begins, texts)])
+        cuts = np.unique(np.concatenate([ends, bounds.ravel()]))
+        if not len(hits := np.flatnonzero(suspect)):
+            return out
+        segment = np.unique(np.searchsorted(cuts, hits, side="right"))
+        parts = [(int(cuts[i]) - int(cuts[i - 1]), int(cuts[i - 1])) for i in segment]
+        parts.sort()
+        path = np.zeros(len(at), np.int8)
+        i = 0
+        while i < len(parts):
+            j, longest = i, parts[i][0]
+            # neighbours in length, at most about 20 000 places
+            while j < len(parts) and (parts[j][0] <= longest * 1.25 + 2 and (j - i + 1) * parts[j][0] <= 20_000 or j == i):
+                j += 1
+            for (size, first), found in zip(parts[i:j], self.viterbi([emit[f : f + k] for k, f in parts[i:j]])):
+                path[first : first + size] = found
+            i = j
+        for k, (a, b) in enumerate(bounds):
+            if path[a:b].any():
+                out[k] = path[a:b]
         return out
 
     def viterbi(self, emits: list[np.ndarray]) -> list[np.ndarray]:
@@ -148,14 +213,15 @@ class Model:
         e = np.zeros((t, b, k), np.float32)
         for i, x in enumerate(emits):
             e[: len(x), i] = x
-        trans = self.t + self.bar
+        trans = np.ascontiguousarray((self.t + self.bar).T)
         back = np.zeros((t, b, k), np.int8)
         score = self.s + self.bar_start + e[0]
         final = score.copy()
+        at = np.arange(b * k) * k
         for i in range(1, t):
-            paths = score[:, :, None] + trans
-            back[i] = paths.argmax(axis=1)
-            score = np.take_along_axis(paths, back[i][:, None, :].astype(np.int64), axis=1)[:, 0] + e[i]
+            paths = score[:, None, :] + trans
+            back[i] = paths.argmax(axis=2)
+            score = paths.ravel()[at + back[i].ravel()].reshape(b, k) + e[i]
             final = np.where((size > i)[:, None], score, final)
         best = final.argmax(axis=1)
         path = np.zeros((t, b), np.int8)
@@ -170,16 +236,18 @@ class Model:
 
     # training ---------------------------------------------------------------------------------------------------
 
-    def fit(self, rows: list[tuple[list[str], list[int]]], epochs: int = 6, rate: float = 0.25, decay: float = 1e-6, batch: int = 64, seed: int = 1) -> "Model":
+    def fit(self, rows: list[tuple[list[str], list[int]]], epochs: int = 8, rate: float = 0.3, decay: float = 1e-4, batch: int = 32, seed: int = 1, damping: float = 10.0) -> "Model":
         """``rows``: token keys and label numbers."""
         types: dict[str, int] = {}
         coded = [(np.array([types.setdefault(k, len(types) + 1) for k in keys]), np.array(labels)) for keys, labels in rows if keys]
-        lists = [[stable_hash(f) for f in features(k)] for k in types]
-        flat = np.concatenate([np.array(x) for x in lists])
-        owner = np.repeat(np.arange(1, len(lists) + 1), [len(x) for x in lists])
-        first = np.r_[0, 0, np.cumsum([len(x) for x in lists])]
+        hashes = [[stable_hash(f) for f in features(k)] for k in types]
+        levels = {}
+        for count in set(COUNTED.values()):
+            lists = [h[:count] for h in hashes]
+            sizes = [len(x) for x in lists]
+            levels[count] = np.concatenate([np.array(x) for x in lists]), np.repeat(np.arange(1, len(lists) + 1), sizes), np.r_[0, 0, np.cumsum(sizes)]
         k, rng = len(self.labels), np.random.default_rng(seed)
-        gw, gt, gs = np.full_like(self.w, 1e-3), np.full_like(self.t, 1e-3), np.full_like(self.s, 1e-3)
+        gw, gt, gs = (np.full_like(x, damping) for x in (self.w, self.t, self.s))
         order = sorted(range(len(coded)), key=lambda i: len(coded[i][0]))
         groups = [order[i : i + batch] for i in range(0, len(order), batch)]
         for _ in range(epochs):
@@ -194,18 +262,22 @@ class Model:
                     gold[i, : len(y)] = y
                 used = np.unique(ids)
                 used = used[used > 0]
-                pick = np.concatenate([np.arange(first[u], first[u + 1]) for u in used])
-                feats, own = flat[pick], np.searchsorted(used, owner[pick]) + 1
+                parts = {}
+                for count, (flat_, owner, first) in levels.items():
+                    pick = np.concatenate([np.arange(first[u], first[u + 1]) for u in used])
+                    own = np.searchsorted(used, owner[pick]) + 1
+                    parts[count] = flat_[pick], own, np.flatnonzero(np.r_[True, own[1:] != own[:-1]]), *np.unique(flat_[pick], return_inverse=True)
                 local = np.searchsorted(used, ids) + 1
                 local[ids == 0] = 0
                 table = np.zeros((len(OFFSETS), len(used) + 1, k), np.float32)
-                starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                table[:, 1:] = np.add.reduceat(self.w[:, feats], starts, axis=1)
+                for i, o in enumerate(OFFSETS):
+                    feats, _, begin, _, _ = parts[COUNTED[abs(o)]]
+                    table[i, 1:] = np.add.reduceat(self.w[i, feats], begin, axis=0)
                 emit = sum(table[i, local[:, 3 + o : 3 + o + t]] for i, o in enumerate(OFFSETS))
                 grad_e, grad_t, grad_s = self.gradient(emit.astype(np.float64), gold, size)
-                names, inverse = np.unique(feats, return_inverse=True)
                 flat_grad = grad_e.reshape(-1, k)
                 for i, o in enumerate(OFFSETS):
+                    _, own, _, names, inverse = parts[COUNTED[abs(o)]]
                     by_type = summed(local[:, 3 + o : 3 + o + t].ravel(), flat_grad, len(used) + 1)
                     g_f = summed(inverse, by_type[own], len(names)).astype(np.float32)
                     g_f -= decay * self.w[i, names] * b
