@@ -3,9 +3,8 @@
 Every distinct token of the labels is joined once to the vocabulary of the reference list: bigrams propose, the edit
 distance decides, shortened tokens match by prefix. A label's repaired tokens then rank the entries of its section by
 soft TF-IDF. Labels whose words run together or fall apart have no tokens to repair; for them, and for labels cut off
-at the end, the letters without blanks are compared with the entry's, proposed by trigrams. Headings and remarks that
-stand between the lines of an account table are entries too, so that a line that means no account has something
-better to match than the nearest account.
+at the end, the letters without blanks are compared with the entry's, proposed by trigrams. A line that means no
+account is told by the score of its best entry alone.
 """
 
 from __future__ import annotations
@@ -13,26 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.parse import BLANK
+from ledgerlake.functions.parse import BLANK, let
 from ledgerlake.functions.text import fold
 from ledgerlake.session import broadcast_if_small, cut
 from ledgerlake.sources.tables import table
 
 NOT_MAPPED = "NON_MAPPE"
 #: Rows below this score, or without code, are mapped; labels whose best entry scores below the second are not.
-POOR, ACCEPT = 0.6, 0.6
+POOR, ACCEPT = 0.6, 0.68
 #: Least similarity of a repaired token, similarity given to a prefix, and to the cut last word.
 TOKEN_SIM, PREFIX_SIM, CUT_SIM = 0.6, 0.92, 0.85
 #: Least share of an entry's trigrams that a label must hold to be compared by its letters.
 LEAST_TRIGRAMS = 0.25
-#: Headings and remarks found between the lines of account tables.
-REMARKS = [
-    "Arrêté par le conseil", "Engagements donnés hors bilan", "Exercice précédent", "Surface louée (m²)", "Taux d'occupation des hôtels",
-    "Nature des opérations", "Brut", "montants retraités", "Effectif moyen", "Cachet et signature", "Exercice", "Tonnage expédié",
-    "Taux de change de clôture", "Néant", "Exprimé en dirhams", "Nbre d'administrateurs", "Nombre d'actions en circulation", "Net",
-    "Amort. et provisions", "Amortissements et provisions", "Certifié conforme à l'original", "Émissions de carbone évitées", "Visa du réviseur",
-    "Suite page suivante", "Report de la page", "Cours de l'action au", "Exercice clos fin décembre", "voir note de l'annexe", "Page",
-]
 #: Words that carry no meaning of their own.
 EMPTY_WORDS = ("des", "les", "aux", "une", "par", "sur", "dans", "pour", "the", "net")
 
@@ -66,17 +57,15 @@ def ngrams(text: Column, n: int) -> Column:
 
 
 def similarity(a: Column, b: Column) -> Column:
-    return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
+    """One less the edits per letter; two letters that changed places are one edit."""
+    sorted_letters = lambda t: F.array_sort(F.split(t, ""))
+    edits = let(F.levenshtein(a, b), lambda d: F.when((d == 2) & (F.length(a) == F.length(b)) & (sorted_letters(a) == sorted_letters(b)), 1).otherwise(d))
+    return 1 - edits / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
 def reference(entries: DataFrame) -> DataFrame:
-    """(section, eid, code, lettres, mots) of each entry; remarks are entries of every section without code."""
-    spark = entries.sparkSession
-    real = entries.select("section", "code", F.col("label").alias("t")).where("label is not null and code is not null")
-    remarks = spark.createDataFrame([(r,) for r in REMARKS], "t string").select(F.lit(NOT_MAPPED).alias("code"), "t")
-    sections = real.select("section").distinct().withColumn("z", F.lit(1))
-    both = real.unionByName(sections.join(remarks.withColumn("z", F.lit(1)), "z").select("section", "code", "t"))
-    bare = both.select("section", "code", F.lower(fold(F.col("t"))).alias("b"))
+    """(section, eid, code, lettres, mots) of each entry."""
+    bare = entries.where("label is not null and code is not null and section is not null").select("section", "code", F.lower(fold(F.col("label"))).alias("b"))
     return bare.select("section", "code", F.xxhash64("section", "code", "b").alias("eid"), letters(F.col("b")).alias("lettres"), words(F.col("b")).alias("mots")).dropDuplicates(["eid"])
 
 
@@ -91,20 +80,18 @@ def token_weights(ref: DataFrame) -> DataFrame:
 
 def repaired_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(jeton, mot, sim): vocabulary words that a token may mean; ``tokens`` has distinct ``jeton``."""
-    vocab = F.broadcast(vocabulary.select("mot").distinct().withColumn("taille", F.size(ngrams(F.col("mot"), 2))))
-    stem = F.regexp_replace("jeton", r"\.$", "")
-    asked = tokens.withColumn("racine", stem)
+    vocab = vocabulary.select("mot").distinct().withColumn("taille", F.size(ngrams(F.col("mot"), 2)))
+    asked = tokens.withColumn("racine", F.regexp_replace("jeton", r"\.$", ""))
     proposed = (
         asked.select("jeton", "racine", F.explode(ngrams(F.col("racine"), 2)).alias("g"))
-        .join(F.broadcast(vocab.select("mot", "taille", F.explode(ngrams(F.col("mot"), 2)).alias("g"))), "g")
+        .join(broadcast_if_small(cut(vocab.select("mot", "taille", F.explode(ngrams(F.col("mot"), 2)).alias("g")))), "g")
         .groupBy("jeton", "racine", "mot").agg(F.count(F.lit(1)).alias("n"), F.first("taille").alias("taille"))
     )
     near = proposed.select("jeton", "mot", F.when(F.col("racine") == F.col("mot"), 1.0).otherwise(similarity(F.col("racine"), F.col("mot")) * 0.98).alias("sim")).where(F.col("sim") >= TOKEN_SIM)
-    first = F.substring("racine", 1, 1)
+    # every beginning of a word is in the index, so a shortened token meets only words that it begins
+    begun = vocab.where(F.length("mot") > 1).select("mot", F.explode(F.transform(F.sequence(F.lit(1), F.length("mot") - 1), lambda i: F.left(F.col("mot"), i))).alias("racine"))
     short = (
-        asked.where(F.length("racine") >= 1).select("jeton", "racine", first.alias("f"))
-        .join(F.broadcast(vocab.select("mot", F.substring("mot", 1, 1).alias("f"))), "f")
-        .where(F.col("mot").startswith(F.col("racine")) & (F.length("racine") < F.length("mot")))
+        asked.where(F.length("racine") >= 1).join(broadcast_if_small(cut(begun)), "racine")
         .select("jeton", "mot", F.when(F.col("jeton").endswith("."), PREFIX_SIM).otherwise(CUT_SIM).alias("sim"), (~F.col("jeton").endswith(".")).alias("cut"))
     )
     return near.withColumn("cut", F.lit(False)).unionByName(short).groupBy("jeton", "mot", "cut").agg(F.max("sim").alias("sim"))
@@ -112,7 +99,7 @@ def repaired_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def by_tokens(labels: DataFrame, ref: DataFrame) -> DataFrame:
     """(lid, eid, score): soft TF-IDF, twice the weight in common over the weights of both."""
-    postings = F.broadcast(cut(token_weights(ref)))
+    postings = broadcast_if_small(cut(token_weights(ref)))
     each = labels.select("lid", "section", F.posexplode("mots").alias("pos", "jeton"), (F.size("mots") - 1).alias("fin")).withColumn("dernier", F.col("pos") == F.col("fin"))
     repaired = cut(repaired_tokens(each.select("jeton").distinct(), postings))
     repaired = broadcast_if_small(repaired)
@@ -129,7 +116,7 @@ def by_tokens(labels: DataFrame, ref: DataFrame) -> DataFrame:
 
 def by_letters(labels: DataFrame, ref: DataFrame) -> DataFrame:
     """(lid, eid, score): edit similarity of the letters without blanks, of the whole entry or of a label cut short."""
-    index = F.broadcast(cut(ref.select("section", "eid", "lettres", F.explode(ngrams(F.col("lettres"), 3)).alias("g"), F.size(ngrams(F.col("lettres"), 3)).alias("taille"))))
+    index = broadcast_if_small(cut(ref.select("section", "eid", "lettres", F.explode(ngrams(F.col("lettres"), 3)).alias("g"), F.size(ngrams(F.col("lettres"), 3)).alias("taille"))))
     grams = labels.select("lid", "section", F.col("lettres").alias("l"), "coupe", F.explode(ngrams(F.col("lettres"), 3)).alias("g"))
     shared = grams.join(index, ["section", "g"]).groupBy("lid", "l", "coupe", "eid", "lettres", "taille").agg(F.count(F.lit(1)).alias("n"))
     likely = shared.where(F.col("n") >= F.least("taille", F.length("l")) * LEAST_TRIGRAMS)
@@ -153,11 +140,11 @@ def map_labels(labels: DataFrame, entries: DataFrame) -> DataFrame:
         .select("section", "label", "coupe", F.xxhash64("section", "label").alias("lid"), letters(F.col("b")).alias("lettres"), words(F.col("b")).alias("mots"))
     )
     asked = cut(asked.where("lettres <> ''"))
-    known = F.broadcast(ref.groupBy("section", "lettres").agg(F.min("code").alias("code")))
+    known = broadcast_if_small(ref.groupBy("section", "lettres").agg(F.min("code").alias("code")))
     exact = asked.join(known, ["section", "lettres"]).select("section", "label", "code", F.lit(1.0).alias("score"))
     rest = cut(asked.join(known, ["section", "lettres"], "left_anti"))
     scores = by_tokens(rest, ref).unionByName(by_letters(rest, ref)).groupBy("lid", "eid").agg((F.max("score") + 0.15 * F.min("score") * (F.count(F.lit(1)) - 1)).alias("score"))
-    coded = scores.join(F.broadcast(ref.select("eid", "code")), "eid").groupBy("lid", "code").agg(F.max("score").alias("score"))
+    coded = scores.join(broadcast_if_small(ref.select("eid", "code")), "eid").groupBy("lid", "code").agg(F.max("score").alias("score"))
     best = coded.groupBy("lid").agg(F.max_by(F.struct("code", "score"), F.struct("score", "code")).alias("b"))
     found = rest.join(best, "lid", "left").select(
         "section", "label", F.when(F.col("b.score") >= ACCEPT, F.col("b.code")).otherwise(NOT_MAPPED).alias("code"), F.col("b.score").alias("score")
