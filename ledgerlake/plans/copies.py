@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.companies import resolve_company
 from ledgerlake.functions.parse import ANY_DECIMALS, parse_amount, parse_year
 from ledgerlake.operators.datadiff import differing_keys, rows_to_compare, set_hash
-from ledgerlake.session import cut, written
+from ledgerlake.session import collected, cut, written
 from ledgerlake.sources.tables import table
 
 #: Values that differ by no more than this are the same; also the quantum of the row hash, so that equal hashes
@@ -27,9 +27,7 @@ def codes_compared(spark: SparkSession, folder: str) -> dict[str, str]:
     """
     seen = table(spark, folder, "data_verification", "code_cifen").select(F.lower(F.trim("code_cifen")).alias("c")).distinct()
     catalogue = table(spark, folder, "champs_cifen", "code").distinct()
-    found = catalogue.join(seen, F.lower("code") == F.col("c"), "left_semi").limit(MOST_CODES + 1).collect()
-    if len(found) > MOST_CODES:
-        raise ValueError("too many codes for one comparison")
+    found = collected(catalogue.join(seen, F.lower("code") == F.col("c"), "left_semi"), MOST_CODES)
     return {code.lower(): code for code in sorted(r.code for r in found)}
 
 

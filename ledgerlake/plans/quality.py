@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.profile import ks_distances, order_statistics, sorted_groups
-from ledgerlake.session import cut
+from ledgerlake.session import collected, cut
 from ledgerlake.sources.tables import nan_to_null, table
 
 #: Thresholds of the findings, as the problem states them.
 NULL_SHIFT, DISTINCT_RATIO, SCALE_RATIO, SCALE_LEAST, SPREAD = 0.25, 2.0, 30.0, 10, 0.5
 KEY_COLUMNS = ["entreprise", "annee"]
+#: Entries the account catalogue and the list of expectations may have, and columns a group key can tell apart.
+MOST_ENTRIES, MOST_COLUMNS = 5_000, 256
 
 
 def accounts(spark: SparkSession, folder: str) -> list[str]:
     """The account columns in catalogue order; the fixed catalogue bounds the list."""
     present = set(table(spark, folder, "data_cifen").columns)
-    rows = table(spark, folder, "champs_cifen", "section", "pos", "code").na.drop().collect()
+    rows = collected(table(spark, folder, "champs_cifen", "section", "pos", "code").na.drop(), MOST_ENTRIES)
     return [c for c in dict.fromkeys(r.code.lower() for r in sorted(rows, key=lambda r: (r.section, r.pos))) if c in present]
 
 
@@ -29,6 +31,8 @@ def load_word(charge: Column) -> Column:
 
 def unpivoted(df: DataFrame, columns: list[str], value) -> DataFrame:
     """(key, v): one row for each non-null value of the account columns."""
+    if len(columns) > MOST_COLUMNS:
+        raise ValueError("too many columns for the group key")
     each = df.select(load_word(F.col("charge_id")).alias("load"), F.posexplode(F.array(*[value(F.col(c)) for c in columns])).alias("pos", "v"))
     return each.where("v is not null and not isnan(v)").select(F.col("load").bitwiseOR(F.col("pos").cast("long")).alias("key"), "v")
 
@@ -36,7 +40,7 @@ def unpivoted(df: DataFrame, columns: list[str], value) -> DataFrame:
 def expectations(spark: SparkSession, folder: str, present: set[str]) -> list[tuple[str, str, Column]]:
     """(column, finding, violated) of each expectation on a column that exists; one row a column, so few."""
     out = []
-    for r in sorted(table(spark, folder, "profil_attendu").where("colonne is not null").collect(), key=lambda r: r.colonne):
+    for r in sorted(collected(table(spark, folder, "profil_attendu").where("colonne is not null"), MOST_ENTRIES), key=lambda r: r.colonne):
         c = r.colonne.lower()
         if c not in present:
             continue
@@ -71,7 +75,8 @@ def key_histograms(spark: SparkSession, folder: str, columns: list[str] = KEY_CO
 def profile_grid(spark: SparkSession, folder: str, probabilities: list[float], value=F.abs) -> DataFrame:
     """(charge_id, charge_prec, colonne, compte, rows, n, uniques, lo, hi, q) for every load and column, written once."""
     names = accounts(spark, folder)
-    groups = sorted_groups(unpivoted(table(spark, folder, "data_cifen", "charge_id", *names), names, value), probabilities)
+    df = table(spark, folder, "data_cifen", "charge_id", *names)
+    groups = sorted_groups(unpivoted(df, names, value), probabilities, df.count() * len(names))
     stats = order_statistics(groups, probabilities)
     loads, _ = load_rows(spark, folder)
     chain = table(spark, folder, "charges", "charge_id", "charge_prec").dropDuplicates(["charge_id"])
@@ -151,8 +156,6 @@ def other_columns(spark: SparkSession, folder: str) -> tuple[dict[str, T.DataTyp
     known = set(accounts(spark, folder))
     kinds = {f.name: f.dataType for f in table(spark, folder, "data_cifen").schema if f.name not in known}
     numbers = {c: k for c, k in kinds.items() if isinstance(k, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))}
-    if len(known) + len(kinds) > 256:
-        raise ValueError("too many columns for the group key")
     return numbers, [c for c in kinds if c not in numbers]
 
 
@@ -188,17 +191,17 @@ def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
     measured = [*names, *kinds]
     source = table(spark, folder, "data_cifen")
     df = source.select("charge_id", *names, *[as_number(c, k).alias(c) for c, k in kinds.items()])
-    stats = order_statistics(sorted_groups(unpivoted(df, measured, lambda c: c), QUARTILES), QUARTILES)
+    # one sort: a group holds the values of its load and, as its old sample, those of the load before
+    chain = table(spark, folder, "charges", "charge_id", "charge_prec").dropDuplicates(["charge_id"]).where("charge_prec is not null")
+    earlier = df.withColumnRenamed("charge_id", "charge_prec").join(chain, "charge_prec")
+    now, before = (unpivoted(part, measured, lambda c: c).withColumn("old", F.lit(old)) for part, old in ((df, False), (earlier, True)))
+    groups = sorted_groups(now.unionByName(before), QUARTILES, 2 * df.count() * len(measured))
+    stats, ks = order_statistics(groups, QUARTILES), ks_distances(groups)
     worded = text_statistics(source.select(*texts), texts, len(measured))
     blank, void = F.lit(None).cast("double"), F.lit(None).cast("string")
     stats = stats.select("key", "n", "uniques", "lo", "hi", "q", void.alias("lo_t"), void.alias("hi_t"), F.lit(None).cast("array<string>").alias("q_t")).unionByName(
         worded.select("key", "n", "uniques", blank.alias("lo"), blank.alias("hi"), F.lit(None).cast("array<double>").alias("q"), F.col("lo").alias("lo_t"), F.col("hi").alias("hi_t"), F.col("q").alias("q_t"))
     )
-    chain = table(spark, folder, "charges", "charge_id", "charge_prec").dropDuplicates(["charge_id"]).where("charge_prec is not null")
-    now = unpivoted(df.join(chain.select("charge_id"), "charge_id", "left_semi"), measured, lambda c: c).withColumn("old", F.lit(False))
-    earlier = df.withColumnRenamed("charge_id", "charge_prec").join(chain, "charge_prec")
-    before = unpivoted(earlier, measured, lambda c: c).withColumn("old", F.lit(True))
-    ks = ks_distances(sorted_groups(now.unionByName(before), [], two=True))
     loads, broken = violations(spark, folder)
     count = lambda c, kind: F.col(broken[c, kind]) if (c, kind) in broken else F.lit(None).cast("long")
     times = [c for c, k in kinds.items() if isinstance(k, (T.TimestampType, T.TimestampNTZType))]

@@ -9,7 +9,7 @@ from ledgerlake.functions.companies import resolve_company
 from ledgerlake.functions.parse import BLANK, DASH, amount_text
 from ledgerlake.operators.aliases import LETTERS, alias_dictionary
 from ledgerlake.plans.quality import accounts
-from ledgerlake.session import broadcast_if_small, cut, is_small, written
+from ledgerlake.session import broadcast_if_small, collected, cut, is_small, written
 from ledgerlake.sources.tables import table
 
 #: The units an amount may be in, as a scale and a currency: dirhams first, then the foreign ones.
@@ -107,9 +107,7 @@ def with_units(fields: DataFrame, small: int = SMALL_DICTIONARY) -> DataFrame:
 
 def rates(spark: SparkSession, folder: str) -> Column:
     """Dirhams for a unit of each currency and year, as a map; the table is a fixed helper, its size is checked."""
-    rows = table(spark, folder, "taux_change").limit(20_001).collect()
-    if len(rows) > 20_000:
-        raise ValueError("more exchange rates than a map should hold")
+    rows = collected(table(spark, folder, "taux_change"), 20_000)
     pairs = [x for r in rows if r.dh_par_unite for x in (F.lit(f"{r.devise}{r.annee}"), F.lit(float(r.dh_par_unite)))]
     return F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,double>")
 

@@ -81,6 +81,14 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
+def collected(df: DataFrame, most: int) -> list:
+    """The rows of a helper table in the driver; an error beyond ``most``."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a helper table has more than {most} rows")
+    return rows
+
+
 def width(spark: SparkSession) -> int:
     """Partitions for an explicit repartition: what the session asks for, at least two waves of its cores."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)

@@ -17,7 +17,7 @@ from ledgerlake.functions.parse import ANY_DECIMALS, parse_amount, parse_year
 from ledgerlake.operators import datadiff
 from ledgerlake.operators import aliases
 from ledgerlake.operators.aliases import alias_dictionary, weighted_distance
-from ledgerlake.operators.profile import ks_distance, ks_distances, order_statistics, sorted_groups
+from ledgerlake.operators.profile import BLOCK, ks_distance, ks_distances, order_statistics, sorted_groups
 from ledgerlake.plans import registry
 from ledgerlake.plans import units
 from tests.conftest import DATA
@@ -228,14 +228,34 @@ def test_order_statistics_and_distances_over_many_partitions(spark):
         assert (r.n, r.uniques, r.lo, r.hi) == (len(vs), len(set(vs)), vs.min(), vs.max())
         assert np.allclose(r.q, np.quantile(vs, probabilities))
     two = df.withColumn("old", F.lit(False)).unionByName(spark.createDataFrame([(1, float(v)) for v in rng.integers(10, 60, 900) / 4.0] + [(4, 0.0), (5, 1.0)], "key bigint, v double").withColumn("old", F.lit(True)))
-    ks = {r.key: r.ks for r in ks_distances(sorted_groups(two, [], two=True)).collect()}
+    both = sorted_groups(two, probabilities)
+    again = {r.key: r for r in order_statistics(both, probabilities).collect()}
+    assert set(again) == set(groups) and all((again[k].n, again[k].uniques, again[k].lo, again[k].hi, again[k].q) == (got[k].n, got[k].uniques, got[k].lo, got[k].hi, got[k].q) for k in groups)
+    ks = {r.key: r.ks for r in ks_distances(both).collect()}
     everything = two.toPandas()
     for k in (1, 4):
         x, y = (np.sort(everything[(everything.key == k) & (everything.old == o)].v) for o in (False, True))
         z = np.union1d(x, y)
         assert np.isclose(ks[k], np.abs(np.searchsorted(x, z, "right") / len(x) - np.searchsorted(y, z, "right") / len(y)).max())
     assert ks[2] is None and ks[5] is None
-    assert ks_distance(np.array([1.0, 1.0]), np.array([True, False]), 1, 1) == 0.0
+    assert ks_distance(np.array([1]), np.array([1]), 1, 1) == 0.0
+
+
+def test_a_hot_group_streams_in_blocks(spark):
+    """One group over all partitions, half of it one value: blocks of bounded size, and the same figures as numpy."""
+    n = 400_000
+    df = spark.range(n).select(F.lit(7).cast("long").alias("key"), F.when(F.col("id") % 2 == 0, 5.0).otherwise(F.col("id") % 90_001).cast("double").alias("v"), (F.col("id") % 3 == 0).alias("old"))
+    groups = sorted_groups(df, [0.1, 0.5, 0.9], n)
+    sizes = groups.select("pid", F.size("vals").alias("s"), "n", "n_old").collect()
+    assert len({r.pid for r in sizes}) > 2 and max(r.s for r in sizes) <= BLOCK
+    # the frequent value is split over partitions as well
+    assert max(r.n + r.n_old for r in sizes) < n / 2
+    everything = df.toPandas()
+    mine, other = (np.sort(everything[everything.old == o].v.to_numpy()) for o in (False, True))
+    r = order_statistics(groups, [0.1, 0.5, 0.9]).first()
+    assert (r.n, r.uniques, r.lo, r.hi) == (len(mine), len(set(mine)), mine.min(), mine.max()) and np.allclose(r.q, np.quantile(mine, [0.1, 0.5, 0.9]))
+    z = np.union1d(mine, other)
+    assert np.isclose(ks_distances(groups).first().ks, np.abs(np.searchsorted(mine, z, "right") / len(mine) - np.searchsorted(other, z, "right") / len(other)).max())
 
 
 def test_findings_equal_brute_force(spark):
