@@ -130,7 +130,10 @@ def balance_three_rates(spark: SparkSession, folder: str) -> DataFrame:
     return n.select("*", *[R.percent(F.col(f"n_{c}"), F.col("n")).alias(f"{c}_pct") for c in ("bilan", "resultat", "deux")])
 
 
-FILLED = sorted({c.lower() for t, _, p in RULES for c in (t, *p)})
+#: The accounts of the catalogue that no identity uses.
+OTHER_ACCOUNTS = ["cpc_i_1", "cpc_i_2", "cpc_i_3", "cpc_i_4", "cpc_i_5", "cpc_i_6", "cpc_i_7", "cpc_i_8", "cpc_xiv"]
+#: All 138 accounts.
+FILLED = sorted({c.lower() for t, _, p in RULES for c in (t, *p)} | set(OTHER_ACCOUNTS))
 SQL_FILLED = " + ".join(f"(CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END)" for c in FILLED)
 
 
@@ -150,7 +153,7 @@ ROW_FILLED = " + ".join(f"cast({c} is not null as int)" for c in FILLED)
 WITH r AS (SELECT count(*) * {len(FILLED)} AS cellules, sum({SQL_FILLED})::BIGINT AS remplies FROM data_cifen)
 SELECT cellules, remplies, {sql_pct('remplies', 'cellules')} AS taux_pct FROM r""")
 def fill_rate_global(spark: SparkSession, folder: str) -> DataFrame:
-    """Filled cells of the accounts the identities use."""
+    """Filled cells of all accounts."""
     counts = facts(spark, folder, *FILLED).agg(F.count(F.lit(1)).alias("n"), *filled_counts())
     return counts.select((F.col("n") * len(FILLED)).alias("cellules"), total_filled().alias("remplies")).withColumn("taux_pct", R.percent(F.col("remplies"), F.col("cellules")))
 

@@ -5,33 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.parse import parse_amount, parse_year
+from ledgerlake.functions.parse import ARABIC_DIGITS, parse_amount, parse_year
 from ledgerlake.operators import select as S
 from ledgerlake.plans.catalog import query
+from ledgerlake.plans.quality import MOST_ENTRIES
+from ledgerlake.session import collected
 from ledgerlake.sources.tables import keep, nan_to_null, table
 
-#: The accounts the long and wide forms are shown with.
-SHOWN = ["actif_c1", "actif_f", "passif_a", "passif_c", "cpc_i_3", "cpc_xiii"]
-
-
 @query("""
-WITH l AS (SELECT entreprise, count(*) AS n_documents FROM documents GROUP BY entreprise), r AS (SELECT entreprise, count(*) AS n_candidats FROM doc_candidates WHERE annee = 2020 GROUP BY entreprise)
+WITH l AS (SELECT entreprise, count(*) AS n_documents FROM documents GROUP BY entreprise), r AS (SELECT entreprise, count(*) AS n_candidats FROM doc_candidates GROUP BY entreprise)
 SELECT coalesce(l.entreprise, r.entreprise) AS entreprise, n_documents, n_candidats, CASE WHEN r.n_candidats IS NULL THEN 'documents' WHEN l.n_documents IS NULL THEN 'candidats' ELSE 'les_deux' END AS origine
 FROM l FULL JOIN r ON l.entreprise IS NOT DISTINCT FROM r.entreprise""")
 def outer_merge_indicator(spark: SparkSession, folder: str) -> DataFrame:
     """Full outer merge with the side each row comes from; null keys meet."""
     a = table(spark, folder, "documents", "entreprise").groupBy("entreprise").agg(F.count(F.lit(1)).alias("n_documents"))
-    b = table(spark, folder, "doc_candidates", "entreprise", "annee").where("annee = 2020").groupBy("entreprise").agg(F.count(F.lit(1)).alias("n_candidats"))
-    return S.full_merge(a, b, "entreprise", "documents", "candidats")
-
-
-@query("""
-WITH l AS (SELECT entreprise, count(*) AS n_documents FROM documents GROUP BY entreprise), r AS (SELECT entreprise, count(*) AS n_candidats FROM doc_candidates GROUP BY entreprise)
-SELECT coalesce(l.entreprise, r.entreprise) AS entreprise, n_documents, n_candidats, CASE WHEN r.n_candidats IS NULL THEN 'documents' WHEN l.n_documents IS NULL THEN 'candidats' ELSE 'les_deux' END AS origine
-FROM l FULL JOIN r ON l.entreprise IS NOT DISTINCT FROM r.entreprise""")
-def outer_merge_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Full outer merge of all documents and all candidates; ``outer_merge_indicator`` is the slice of candidates of 2020 that its SQL shows."""
-    a = table(spark, folder, "documents", "entreprise").groupBy("entreprise").agg(F.count(F.lit(1)).alias("n_documents"))
     b = table(spark, folder, "doc_candidates", "entreprise").groupBy("entreprise").agg(F.count(F.lit(1)).alias("n_candidats"))
     return S.full_merge(a, b, "entreprise", "documents", "candidats")
 
@@ -83,44 +70,28 @@ def last_write_wins(spark: SparkSession, folder: str) -> DataFrame:
     return S.last_wins(df, ["entreprise", "annee"], F.col("row_id"), ["actif_f", "passif_c"])
 
 
-SQL_LONG = "\nUNION ALL\n".join(f"SELECT row_id, '{c}' AS code, {c} AS valeur FROM data_cifen" for c in SHOWN)
-
-
-@query(SQL_LONG)
-def melt_long(spark: SparkSession, folder: str) -> DataFrame:
-    """Accounts to rows, blanks kept."""
-    return nan_to_null(table(spark, folder, "data_cifen", "row_id", *SHOWN)).unpivot(["row_id"], SHOWN, "code", "valeur")
-
-
-@query("""
-WITH v AS (SELECT field_id, entreprise, annee, lower(code) AS code, value_current FROM extracted_fields WHERE code IS NOT NULL),
-l AS (SELECT entreprise, annee, code, arg_max({'v': value_current}, field_id).v AS valeur FROM v GROUP BY ALL)
-SELECT entreprise, annee, """ + ", ".join(f"max(CASE WHEN code = '{c}' THEN valeur END) AS {c}" for c in SHOWN) + " FROM l GROUP BY entreprise, annee")
-def pivot_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """Read lines to columns; the last line of a repeated code counts, a missing code is blank; the codes are given, so no pass looks for them."""
-    df = table(spark, folder, "extracted_fields", "entreprise", "annee", "code", "field_id", "value_current").where("code is not null").withColumn("code", F.lower("code"))
-    last = S.last_wins(df, ["entreprise", "annee", "code"], F.col("field_id"), ["value_current"])
-    return last.groupBy("entreprise", "annee").pivot("code", SHOWN).agg(F.max("value_current"))
-
-
 def catalogue_codes(spark: SparkSession, folder: str) -> list[str]:
     """All account codes in catalogue order; the fixed catalogue bounds the list."""
-    found = table(spark, folder, "champs_cifen", "section", "pos", "code").na.drop().collect()
+    found = collected(table(spark, folder, "champs_cifen", "section", "pos", "code").na.drop(), MOST_ENTRIES)
     return list(dict.fromkeys(r.code.lower() for r in sorted(found, key=lambda r: (r.section, r.pos))))
 
 
-@query()
-def melt_long_all(spark: SparkSession, folder: str) -> DataFrame:
-    """All accounts to rows, blanks kept; ``melt_long`` is the slice of six accounts that its SQL shows."""
+@query("""SELECT row_id, code, valeur FROM data_cifen UNPIVOT INCLUDE NULLS (valeur FOR code IN (COLUMNS(* EXCLUDE (row_id, entreprise, annee, charge_id, maj_le))))""")
+def melt_long(spark: SparkSession, folder: str) -> DataFrame:
+    """All accounts of the catalogue to rows, blanks kept."""
     present = set(table(spark, folder, "data_cifen").columns)
     codes = [c for c in catalogue_codes(spark, folder) if c in present]
     return nan_to_null(table(spark, folder, "data_cifen", "row_id", *codes)).unpivot(["row_id"], codes, "code", "valeur")
 
 
-@query()
-def pivot_wide_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Read lines to a column for every code of the catalogue; the last line of a repeated code counts. ``pivot_wide`` is
-    the slice of six accounts that its SQL shows."""
+@query("""
+WITH v AS (SELECT field_id, entreprise, annee, lower(code) AS code, value_current FROM extracted_fields WHERE code IS NOT NULL),
+l AS (SELECT entreprise, annee, code, arg_max({'v': value_current}, field_id).v AS valeur FROM v GROUP BY ALL),
+m AS (SELECT true AS vrai, * FROM l UNION ALL SELECT false, NULL, NULL, lower(code), NULL FROM champs_cifen)
+SELECT * EXCLUDE (vrai) FROM (PIVOT m ON code USING max(valeur) GROUP BY vrai, entreprise, annee) WHERE vrai""")
+def pivot_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Read lines to a column for every code of the catalogue; the last line of a repeated code counts, a missing code is
+    blank; the codes are given, so no pass looks for them."""
     df = table(spark, folder, "extracted_fields", "entreprise", "annee", "code", "field_id", "value_current").where("code is not null").withColumn("code", F.lower("code"))
     last = S.last_wins(df, ["entreprise", "annee", "code"], F.col("field_id"), ["value_current"])
     return last.groupBy("entreprise", "annee").pivot("code", catalogue_codes(spark, folder)).agg(F.max("value_current"))
@@ -193,35 +164,26 @@ def derived_vs_real(spark: SparkSession, folder: str) -> DataFrame:
     return derived.join(real, ["o_custkey", "annee"], "left").where("coalesce(derive, reel) is not null").withColumn("ecart", F.col("derive") - F.col("reel"))
 
 
-SQL_AMOUNT = """CASE WHEN regexp_matches({c}, '^-?[0-9]+\\.[0-9]{{1,2}}$') THEN try_cast({c} AS DOUBLE)
-  WHEN regexp_matches(replace(replace({c}, ' ', ''), chr(160), ''), '^-?[0-9]+,[0-9]+$') THEN try_cast(replace(replace(replace({c}, ' ', ''), chr(160), ''), ',', '.') AS DOUBLE)
-  WHEN regexp_matches({c}, '^-?[0-9]+$') THEN try_cast({c} AS DOUBLE) END"""
-SQL_MIXED = " WHERE regexp_matches(valeur_rapport_reel, '^(-?[0-9]+(\\.[0-9]{1,2})?|-?[0-9 ]+,[0-9]+|-?[0-9]+)$')"
+#: Blanks of all kinds, for the SQL side.
+SQL_BLANKS = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
+SQL_DIGITS = f"translate({{c}}, '{ARABIC_DIGITS}', '{'0123456789' * 2}')"
+SQL_FLAT = r"regexp_replace(regexp_replace(" + SQL_DIGITS.format(c="valeur_rapport_reel") + rf", '{SQL_BLANKS[:-1]}''’]', '', 'g'), '[\x{{2010}}-\x{{2015}}\x{{2212}}]', '-', 'g')"
 
 
-@query("SELECT ver_id, " + SQL_AMOUNT.format(c="valeur_rapport_reel") + " AS valeur FROM data_verification" + SQL_MIXED)
+@query(rf"""
+WITH f AS (SELECT ver_id, {SQL_FLAT} AS f FROM data_verification), b AS (SELECT ver_id, f, regexp_replace(f, '[(+)-]', '', 'g') AS b, starts_with(f, '(') OR starts_with(f, '-') OR ends_with(f, '-') AS moins FROM f),
+t AS (SELECT *, CASE WHEN contains(b, ',') THEN CASE WHEN regexp_matches(b, ',.*\.') THEN replace(b, ',', '') ELSE replace(replace(b, '.', ''), ',', '.') END WHEN regexp_full_match(b, '[0-9]*\.[0-9]{{1,2}}') THEN b ELSE replace(b, '.', '') END AS t FROM b)
+SELECT ver_id, CASE WHEN regexp_full_match(f, '[(+-]*[.,]?[0-9][0-9.,]*[)-]?') THEN try_cast(CASE WHEN moins THEN '-' ELSE '' END || t AS DOUBLE) END AS valeur FROM t""")
 def parse_number(spark: SparkSession, folder: str) -> DataFrame:
-    """Amounts in the notations that SQL can read as simply; the other notations are covered by small tests."""
-    df = table(spark, folder, "data_verification", "ver_id", "valeur_rapport_reel")
-    simple = df.where(F.col("valeur_rapport_reel").rlike(r"^(-?[0-9]+(\.[0-9]{1,2})?|-?[0-9 ]+,[0-9]+|-?[0-9]+)$"))
-    return simple.select("ver_id", parse_amount(F.col("valeur_rapport_reel")).alias("valeur"))
-
-
-@query("SELECT ver_id, nullif(regexp_extract(annee, '([0-9]{4})', 1), '')::INTEGER AS annee FROM data_verification WHERE regexp_matches(annee, '^(FY|Exercice |déc. |[0-9]{2}/[0-9]{2}/)?[0-9]{4}(\\.0|-[0-9]{2}-[0-9]{2})?$')")
-def parse_years(spark: SparkSession, folder: str) -> DataFrame:
-    """Years in the notations that SQL can read as simply."""
-    df = table(spark, folder, "data_verification", "ver_id", "annee")
-    simple = df.where(F.col("annee").rlike(r"^(FY|Exercice |déc. |[0-9]{2}/[0-9]{2}/)?[0-9]{4}(\.0|-[0-9]{2}-[0-9]{2})?$"))
-    return simple.select("ver_id", parse_year(F.col("annee")).alias("annee"))
+    """Amounts of every row, in whatever notation, by the rule of read tables; a cell without a number gives null."""
+    return table(spark, folder, "data_verification", "ver_id", "valeur_rapport_reel").select("ver_id", parse_amount(F.col("valeur_rapport_reel")).alias("valeur"))
 
 
-@query()
-def parse_number_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Amounts of every row, in whatever notation; a cell without a number gives null. ``parse_number`` is the slice that its SQL reads."""
-    return table(spark, folder, "data_verification", "ver_id", "valeur_rapport_reel").select("ver_id", parse_amount(F.col("valeur_rapport_reel")).alias("valeur"))
+SQL_ZEROS = "regexp_replace(" * 3 + SQL_DIGITS.format(c="annee") + r", '([0-9])[Oo]', '\10', 'g')" * 3
+SQL_JOINED = "regexp_replace(" * 2 + SQL_ZEROS + rf", '([0-9]){SQL_BLANKS}+([0-9])', '\1\2', 'g')" * 2
 
 
-@query()
-def parse_years_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Years of every row, in whatever notation; ``parse_years`` is the slice that its SQL reads."""
+@query(rf"SELECT ver_id, nullif(regexp_extract({SQL_JOINED}, '(?:^|[^0-9])([0-9]{{4}})(?:[^0-9]|$)', 1), '')::INTEGER AS annee FROM data_verification")
+def parse_years(spark: SparkSession, folder: str) -> DataFrame:
+    """Years of every row, in whatever notation; a cell without four digits in a row gives null."""
     return table(spark, folder, "data_verification", "ver_id", "annee").select("ver_id", parse_year(F.col("annee")).alias("annee"))

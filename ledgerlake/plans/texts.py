@@ -20,27 +20,34 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return table(spark, folder, "documents", "doc_id", *columns)
 
 
+#: White space of any alphabet, for the SQL side; the byte-order mark and zero-width blanks are none.
+SQL_SPACE = r"[\s\x0b\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def sql_plain(column: str) -> str:
+    """Marks dropped and white space of any kind as one blank, for the SQL side."""
+    return f"regexp_replace({column}, '{SQL_SPACE}', ' ', 'g')"
+
+
+def sql_words(column: str) -> str:
+    """The word normaliser over characters of any alphabet, for the SQL side."""
+    return f"trim(regexp_replace(regexp_replace(lower(strip_accents({sql_plain(column)})), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
 def sq(column: str) -> str:
     """The word normaliser, for the SQL side."""
     return f"trim(regexp_replace(regexp_replace(translate(lower({column}), '{A}', '{B}'), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
 @query(f"""
-SELECT nom, {sq('nom')} AS mots, trim(regexp_replace(translate(lower(nom), '{A}', '{B}'), '\\s+', ' ', 'g')) AS avec_ponctuation,
-  trim(regexp_replace(regexp_replace(translate(lower(nom), '{A}', '{B}'), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS sans,
-  trim(regexp_replace(regexp_replace(regexp_replace(translate(lower(nom), '{A}', '{B}'), '[''’]', '', 'g'), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS espace
-FROM (SELECT DISTINCT entreprise AS nom FROM data_cifen WHERE entreprise IS NOT NULL AND regexp_matches(entreprise, '^[ -~À-ÿ]*$'))""")
+WITH n AS (SELECT DISTINCT entreprise AS nom, {sql_plain('entreprise')} AS p FROM data_cifen WHERE entreprise IS NOT NULL)
+SELECT nom, {sql_words('nom')} AS mots, trim(regexp_replace(translate(lower(p), '{A}', '{B}'), '\\s+', ' ', 'g')) AS avec_ponctuation,
+  trim(regexp_replace(regexp_replace(translate(lower(p), '{A}', '{B}'), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS sans,
+  trim(regexp_replace(regexp_replace(regexp_replace(translate(lower(p), '{A}', '{B}'), '[''’]', '', 'g'), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS espace
+FROM n""")
 def normalise_label(spark: SparkSession, folder: str) -> DataFrame:
-    """Four normalisers side by side; they differ in what punctuation becomes."""
-    names = table(spark, folder, "data_cifen", F.col("entreprise").alias("nom")).where(F.col("nom").rlike("^[ -~À-ÿ]*$")).distinct()
-    n = F.col("nom")
-    return names.select("nom", T.norm_words(n).alias("mots"), T.norm_keep_punctuation(n).alias("avec_ponctuation"), T.norm_name_delete(n).alias("sans"), T.norm_name_space(n).alias("espace"))
-
-
-@query()
-def normalise_label_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The four normalisers over every company spelling, with marks, blanks and signs of any alphabet; ``normalise_label``
-    is the slice that its SQL reads."""
+    """Four normalisers side by side over every company spelling, with marks, blanks and signs of any alphabet; they differ
+    in what punctuation becomes."""
     names = table(spark, folder, "data_cifen", F.col("entreprise").alias("nom")).where("nom is not null").distinct()
     n = T.plain_blanks(F.col("nom"))
     return names.select("nom", T.norm_words(T.decomposed(n)).alias("mots"), T.norm_keep_punctuation(n).alias("avec_ponctuation"), T.norm_name_delete(n).alias("sans"), T.norm_name_space(n).alias("espace"))
@@ -191,28 +198,26 @@ def onepage_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("doc_id", verdict.alias("verdict"))
 
 
-@query("""
-SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')) AS texte, len(regexp_extract_all(text, '(?i)<tr\\b'))::INTEGER AS lignes
-FROM documents WHERE contains(text, '<table') AND NOT contains(text, '<|')""")
+@query(f"""
+SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '{SQL_SPACE}', ' ', 'g')) AS texte, len(regexp_extract_all(text, '(?i)<tr\\b'))::INTEGER AS lignes,
+  len(regexp_extract_all(text, '(?i)<tr\\b')) >= 3 AS tableau FROM documents WHERE text IS NOT NULL""")
 def html_to_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Text and table rows of passages that hold markup."""
-    d = documents(spark, folder, "text").where(F.col("text").contains("<table") & ~F.col("text").contains("<|"))
-    return d.select("doc_id", T.html_to_text(F.col("text")).alias("texte"), F.regexp_count("text", F.lit(r"(?i)<tr\b")).alias("lignes"))
+    """Text and table rows of every passage, and whether it has the three rows of a table; marks such as ``<|endoftext|>``
+    are tags like any other."""
+    d = documents(spark, folder, "text").where("text is not null")
+    bare = F.regexp_replace(F.regexp_replace("text", r"<[^>]+>", " "), T.UNICODE_BLANKS, " ")
+    return d.select("doc_id", F.trim(bare).alias("texte"), F.regexp_count("text", F.lit(r"(?i)<tr\b")).alias("lignes")).withColumn("tableau", F.col("lignes") >= 3)
 
 
-@query()
-def html_to_text_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Text and table rows of every passage; marks such as ``<|endoftext|>`` are tags like any other. ``html_to_text`` is
-    the slice that its SQL reads."""
-    d = documents(spark, folder, "text").where("text is not null")
-    bare = F.regexp_replace(F.regexp_replace("text", r"<[^>]+>", " "), r"(?U)[\s\x1c-\x1f]+", " ")
-    return d.select("doc_id", F.trim(bare).alias("texte"), F.regexp_count("text", F.lit(r"(?i)<tr\b")).alias("lignes"))
+#: An address of the web, up to a blank, quote or bracket; closing punctuation belongs to the sentence.
+LINK, LINK_END = r"(?i)(?:https?://|www\.)[^\s<>\"\x{00a0}()\[\]]+", r"[.,;:!?»]+$"
 
 
-@query("""SELECT doc_id, unnest(regexp_extract_all(text, 'www\\.[a-z0-9]+\\.example')) AS lien FROM documents""")
+@query(f"SELECT doc_id, regexp_replace(l, '{LINK_END}', '') AS lien FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{LINK}')) AS l FROM documents)")
 def links(spark: SparkSession, folder: str) -> DataFrame:
-    """Addresses named in the texts."""
-    return documents(spark, folder, "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"www\.[a-z0-9]+\.example"), F.lit(0))).alias("lien"))
+    """Addresses of the web named in the texts."""
+    found = documents(spark, folder, "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(LINK), F.lit(0))).alias("l"))
+    return found.select("doc_id", F.regexp_replace("l", LINK_END, "").alias("lien"))
 
 
 @query("""
@@ -236,18 +241,10 @@ def levenshtein_vocab(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-WITH l AS (SELECT field_id, {sq('original_label')} AS n, coalesce(trim(value_current), '') = '' AND coalesce(trim(value_previous), '') = '' AS vide FROM extracted_fields WHERE bilan = 'CPC' AND regexp_matches(original_label, '^[ -~À-ÿ]*$'))
-SELECT field_id, CASE WHEN n = '' THEN 'VIDE' WHEN starts_with(n, 'total') OR contains(n, 'cumul') THEN 'TOTAL' WHEN starts_with(n, 'resultat') OR starts_with(n, 'benefice') OR starts_with(n, 'solde') THEN 'RESULTAT' WHEN vide THEN 'TITRE_SECTION' ELSE 'DETAIL' END AS genre FROM l""")
+WITH l AS (SELECT field_id, {sql_words('original_label')} AS n, coalesce(trim({sql_plain('value_current')}), '') = '' AND coalesce(trim({sql_plain('value_previous')}), '') = '' AS vide FROM extracted_fields WHERE bilan = 'CPC')
+SELECT field_id, CASE WHEN coalesce(n, '') = '' THEN 'VIDE' WHEN starts_with(n, 'total') OR contains(n, 'cumul') THEN 'TOTAL' WHEN starts_with(n, 'resultat') OR starts_with(n, 'benefice') OR starts_with(n, 'solde') THEN 'RESULTAT' WHEN vide THEN 'TITRE_SECTION' ELSE 'DETAIL' END AS genre FROM l""")
 def row_types(spark: SparkSession, folder: str) -> DataFrame:
-    """Kinds of the rows of income statements."""
-    df = table(spark, folder, "extracted_fields", "field_id", "bilan", "original_label", "value_current", "value_previous").where("bilan = 'CPC'").where(F.col("original_label").rlike("^[ -~À-ÿ]*$"))
-    blank = (F.coalesce(F.trim("value_current"), F.lit("")) == "") & (F.coalesce(F.trim("value_previous"), F.lit("")) == "")
-    return df.select("field_id", T.norm_words(F.col("original_label")).alias("n"), blank.alias("vide")).select("field_id", K.row_type(F.col("n"), F.col("vide")).alias("genre"))
-
-
-@query()
-def row_types_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Kinds of all rows of income statements, null labels and any characters included; ``row_types`` is the slice that its SQL reads."""
+    """Kinds of all rows of income statements, null labels and any characters included."""
     df = table(spark, folder, "extracted_fields", "field_id", "bilan", "original_label", "value_current", "value_previous").where("bilan = 'CPC'")
     empty = lambda c: F.trim(T.plain_blanks(F.coalesce(c, F.lit("")))) == ""
     label = T.norm_words(T.decomposed(T.plain_blanks(F.col("original_label"))))
@@ -261,13 +258,17 @@ def capital_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "emetteurs", "nom", "capital").select("nom", "capital", K.clean_number(F.col("capital")).alias("valeur"))
 
 
-@query("""
-WITH v AS (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}')) AS d FROM documents WHERE text IS NOT NULL)
-SELECT DISTINCT doc_id, d AS trouve, lpad(regexp_extract(d, '^([0-9]+)', 1), 2, '0') || '/' || lpad(regexp_extract(d, '^[0-9]+[./-]([0-9]+)', 1), 2, '0') || '/' || regexp_extract(d, '([0-9]{4})$', 1) AS date
-FROM v WHERE regexp_extract(d, '^([0-9]+)', 1)::INTEGER BETWEEN 1 AND 31 AND regexp_extract(d, '^[0-9]+[./-]([0-9]+)', 1)::INTEGER BETWEEN 1 AND 12""")
+DATE = "[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{2,4}"
+
+
+@query(f"""
+WITH v AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{DATE}')) AS d FROM documents WHERE text IS NOT NULL),
+p AS (SELECT doc_id, d, regexp_extract(d, '^([0-9]+)', 1) AS j, regexp_extract(d, '^[0-9]+[./-]([0-9]+)', 1) AS m, regexp_extract(d, '([0-9]+)$', 1) AS a FROM v)
+SELECT doc_id, d AS trouve, lpad(j, 2, '0') || '/' || lpad(m, 2, '0') || '/' || CASE length(a) WHEN 2 THEN CASE WHEN a::INTEGER > 30 THEN '19' ELSE '20' END || a WHEN 3 THEN '1' || a ELSE a END AS date
+FROM p WHERE j::INTEGER BETWEEN 1 AND 31 AND m::INTEGER BETWEEN 1 AND 12""")
 def dates_in_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Dates of the texts in one notation."""
-    found = documents(spark, folder, "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}"), F.lit(0))).alias("trouve"))
+    """Dates of the texts in one notation, years of two, three and four digits."""
+    found = documents(spark, folder, "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(DATE), F.lit(0))).alias("trouve"))
     return found.distinct().select("doc_id", "trouve", K.extract_date(F.col("trouve")).alias("date")).where("date is not null")
 
 
@@ -306,11 +307,11 @@ def longest_block_run(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(r"""
-SELECT doc_id, nullif(regexp_extract(text, '\bRC (\d{3,8})\b', 1), '') AS rc, nullif(regexp_extract(text, '\bIF (\d{3,15})\b', 1), '') AS if, nullif(regexp_extract(text, '\bICE (\d{9,20})\b', 1), '') AS ice
-FROM documents WHERE regexp_matches(text, '\bICE \d{9,20}\b')""")
+SELECT * FROM (SELECT doc_id, nullif(regexp_extract(text, '\bRC (\d{3,8})\b', 1), '') AS rc, nullif(regexp_extract(text, '\bIF (\d{3,15})\b', 1), '') AS if, nullif(regexp_extract(text, '\bICE (\d{9,20})\b', 1), '') AS ice
+FROM documents) WHERE coalesce(rc, if, ice) IS NOT NULL""")
 def company_identifiers(spark: SparkSession, folder: str) -> DataFrame:
-    """Identifiers of companies stated in the texts."""
-    return documents(spark, folder, "text").where(F.col("text").rlike(r"\bICE \d{9,20}\b")).select("doc_id", K.identifiers(F.col("text")).alias("i")).select("doc_id", "i.*")
+    """Identifiers of companies stated in the texts, any of the three being enough; the first of each kind."""
+    return documents(spark, folder, "text").select("doc_id", K.identifiers(F.col("text")).alias("i")).select("doc_id", "i.*").where("coalesce(rc, if, ice) is not null")
 
 
 @query(f"""

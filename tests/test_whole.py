@@ -1,4 +1,4 @@
-"""Whole jobs against brute force: queries that read every row or column, without the slices their SQL twins keep."""
+"""Whole jobs against brute force."""
 
 from __future__ import annotations
 
@@ -43,9 +43,9 @@ def test_every_amount_and_year_is_read(spark):
         found = re.search(r"\d{4}", re.sub(r"(?<=\d)\s+(?=\d)", "", t))
         return int(found[0]) if found else None
 
-    got = {r.ver_id: r.valeur for r in rows(spark, "parse_number_all")}
+    got = {r.ver_id: r.valeur for r in rows(spark, "parse_number")}
     assert len(got) == len(source) and [r for r in source if got[r.ver_id] != amount(r.valeur_rapport_reel) and (got[r.ver_id] is None or abs(got[r.ver_id] - amount(r.valeur_rapport_reel)) > 1e-6)] == []
-    got = {r.ver_id: r.annee for r in rows(spark, "parse_years_all")}
+    got = {r.ver_id: r.annee for r in rows(spark, "parse_years")}
     assert len(got) == len(source) and [(r.annee, got[r.ver_id]) for r in source if got[r.ver_id] != year(r.annee)] == []
 
 
@@ -57,7 +57,7 @@ def words(t):
 def test_every_company_spelling_is_normalised(spark, tmp_path):
     names = ["NAMERILE TEXTILE", "﻿ROBEMIKE AGRO", "SEZEZERE ENERGIE\t", "Ōmega d’Or", "ÉTOILE SA", "ﬁn co."]
     spark.createDataFrame([(n,) for n in [*names, None]], "entreprise string").write.parquet(f"{tmp_path}/data_cifen.parquet")
-    got = {r.nom: r for r in rows(spark, "normalise_label_all", str(tmp_path))}
+    got = {r.nom: r for r in rows(spark, "normalise_label", str(tmp_path))}
     assert set(got) == set(names) and {n: got[n].mots for n in names} == {n: words(n) for n in names}
     r = got["NAMERILE TEXTILE"]
     assert (r.mots, r.avec_ponctuation, r.sans, r.espace) == ("namerile textile",) * 4
@@ -79,7 +79,7 @@ def test_every_income_row_has_a_kind(spark, tmp_path):
             return "RESULTAT"
         return "DETAIL" if any((v or "").strip() for v in values) else "TITRE_SECTION"
 
-    got = {r.field_id: r.genre for r in rows(spark, "row_types_all", str(tmp_path))}
+    got = {r.field_id: r.genre for r in rows(spark, "row_types", str(tmp_path))}
     assert got == {r[0]: kind(*r[2:]) for r in [*map(tuple, source), *added] if r[1] == "CPC"}
     assert [got[i] for i in (-1, -2, -3, -4, -5)] == ["VIDE", "TOTAL", "RESULTAT", "TITRE_SECTION", "VIDE"]
 
@@ -87,7 +87,7 @@ def test_every_income_row_has_a_kind(spark, tmp_path):
 def test_every_text_loses_its_tags(spark, tmp_path):
     source = [*map(tuple, frame(spark, "documents", "doc_id", "text")), (-1, "<|endoftext|> <table><TR><td>Stocks</td></tr></table>"), (-2, "a <b>c</b>"), (-3, "sans"), (-4, None)]
     spark.createDataFrame(source, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.texte, r.lignes) for r in rows(spark, "html_to_text_all", str(tmp_path))}
+    got = {r.doc_id: (r.texte, r.lignes) for r in rows(spark, "html_to_text", str(tmp_path))}
     assert got == {i: (re.sub(r"\s+", " ", re.sub("<[^>]+>", " ", t)).strip(), len(re.findall(r"(?i)<tr\b", t))) for i, t in source if t is not None}
     assert got[-1] == ("Stocks", 1) and got[-3] == ("sans", 0)
 
@@ -115,13 +115,13 @@ def test_all_accounts_change_shape(spark):
     for r in sorted(frame(spark, "extracted_fields", "entreprise", "annee", "code", "field_id", "value_current"), key=lambda r: r.field_id):
         if r.code is not None:
             last[r.entreprise, r.annee, r.code.lower()] = r.value_current
-    wide = registry.queries()["pivot_wide_all"](spark, FOLDER)
+    wide = registry.queries()["pivot_wide"](spark, FOLDER)
     assert set(wide.columns) == {"entreprise", "annee", *codes}
     got = wide.collect()
     assert {(r.entreprise, r.annee) for r in got} == {k[:2] for k in last} and len(got) == len({k[:2] for k in last})
     assert {(r.entreprise, r.annee, c): r[c] for r in got for c in codes if r[c] is not None} == {k: v for k, v in last.items() if v is not None}
     want = {(r.row_id, c): r[c] for r in frame(spark, "data_cifen", "row_id", *sorted(codes)) for c in codes}
-    got = rows(spark, "melt_long_all")
+    got = rows(spark, "melt_long")
     assert len(got) == len(want) and {(r.row_id, r.code): r.valeur for r in got} == {k: None if v != v else v for k, v in want.items()}
 
 
@@ -143,7 +143,7 @@ def test_pages_show_every_year_of_orders(spark):
 def test_all_candidates_meet_the_documents(spark):
     docs = [r.entreprise for r in frame(spark, "documents", "entreprise")]
     found = [r.entreprise for r in frame(spark, "doc_candidates", "entreprise")]
-    got = {r.entreprise: (r.n_documents, r.n_candidats, r.origine) for r in rows(spark, "outer_merge_all")}
+    got = {r.entreprise: (r.n_documents, r.n_candidats, r.origine) for r in rows(spark, "outer_merge_indicator")}
     both = {n: (docs.count(n) or None, found.count(n) or None) for n in {*docs, *found}}
     assert got == {n: (a, b, "documents" if b is None else "candidats" if a is None else "les_deux") for n, (a, b) in both.items()}
     assert sum(b or 0 for _, b, _ in got.values()) == len(found)
