@@ -81,27 +81,61 @@ def holds_words(text: str, phrase: str, least: float = 0.84) -> bool:
 
 
 def holds_letters(text: str, phrase: str, least: float = 0.78) -> bool:
-    """Whether some window of the phrase's length, a quarter of it apart, is near it; a cheap bound goes first."""
-    if phrase in text:
-        return True
-    size = len(phrase)
-    for i in range(0, max(len(text) - size, 0) + 1, max(size // 4, 1)):
-        m = SequenceMatcher(None, phrase, text[i : i + size])
-        if m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least:
-            return True
-    return False
+    """Whether some window of the phrase's length, a quarter of it apart, is near it.
 
-
-@lru_cache(maxsize=500_000)
-def token_score(a: tuple[str, ...], b: tuple[str, ...]) -> float:
-    """Mean of the share of common words and the ratio of the sorted words, scaled down where the lengths differ."""
-    if not a or not b:
-        return 0.0
-    sa, sb = set(a), set(b)
-    near = ratio(" ".join(sorted(sa)), " ".join(sorted(sb)))
-    common = len(sa & sb) / min(len(sa), len(sb))
-    score = (common + near) / 2 if common else near
-    return score * (0.5 + 0.5 * min(len(a), len(b)) / max(len(a), len(b)))
+    Letter counts bound the ratio: all windows are counted at once, and only those that can reach ``least`` are compared.
+    """
+    size = len(phrase)
+    if not size or phrase in text or len(text) < size:
+        return not size or phrase in text or ratio(phrase, text) >= least
+    letters = np.array([text.count(c) and 1 for c in phrase], bool)
+    if letters.mean() < least:
+        return False
+    codes = {c: i for i, c in enumerate(dict.fromkeys(phrase))}
+    seen = np.zeros((len(text) + 1, len(codes)), np.int32)
+    for i, c in enumerate(text):
+        if c in codes:
+            seen[i + 1, codes[c]] = 1
+    seen = seen.cumsum(axis=0)
+    starts = np.arange(0, len(text) - size + 1, max(size // 4, 1))
+    mine = np.array([phrase.count(c) for c in codes])
+    most = np.minimum(seen[starts + size] - seen[starts], mine).sum(axis=1) / size
+    return any(ratio(phrase, text[i : i + size]) >= least for i in starts[most >= least])
+
+
+class WordTable:
+    """Runs of neighbouring entries as rows of a table of words, to score one label against all of them at once.
+
+    The score of two word lists is the mean of the common words' share of the shorter list and of the ratio of their
+    sorted words, or that ratio alone where no word is common, times the mean of one and the ratio of their lengths.
+    """
+
+    def __init__(self, entries: list[list[str]], longest: int):
+        self.places = [(i, n) for i in range(len(entries)) for n in range(1, longest + 1) if i + n <= len(entries)]
+        self.runs = [[w for e in entries[i : i + n] for w in e] for i, n in self.places]
+        self.column = {w: k for k, w in enumerate(dict.fromkeys(w for r in self.runs for w in r))}
+        self.holds = np.zeros((len(self.runs), len(self.column)), np.float32)
+        for k, r in enumerate(self.runs):
+            self.holds[k, [self.column[w] for w in r]] = 1
+        self.distinct = np.maximum(self.holds.sum(axis=1), 1)
+        self.length = np.array([max(len(r), 1) for r in self.runs])
+        self.sorted = [" ".join(sorted(set(r))) for r in self.runs]
+
+    def scores(self, words: list[str], least: float) -> list[tuple[float, int, int]]:
+        """(score, first entry, entries) of the runs that reach ``least``; a bound spares most comparisons."""
+        if not words or not self.runs:
+            return []
+        asked = np.zeros(len(self.column), np.float32)
+        asked[[self.column[w] for w in set(words) if w in self.column]] = 1
+        share = (self.holds @ asked) / np.minimum(self.distinct, len(set(words)))
+        scale = 0.5 + 0.5 * np.minimum(self.length, len(words)) / np.maximum(self.length, len(words))
+        mine, out = " ".join(sorted(set(words))), []
+        for k in np.flatnonzero(np.where(share > 0, (share + 1) / 2, 1.0) * scale >= least):
+            near = ratio(mine, self.sorted[k])
+            score = float(((share[k] + near) / 2 if share[k] else near) * scale[k])
+            if score >= least:
+                out.append((score, *self.places[k]))
+        return out
 
 
 def group_thousands(text: str | None) -> str | None:

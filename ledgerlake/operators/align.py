@@ -12,12 +12,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.fuzzy import label_key, ratio, similarity, token_score, words_of
+from ledgerlake.functions.fuzzy import WordTable, label_key, ratio, similarity, words_of
 
 #: Scores: certain at any place; least at the place; least lead; lines searched ahead, at first and then; unsure below.
 CERTAIN, LEAST, LEAD, NEAR, FAR, UNSURE = 0.90, 0.50, 0.06, 6, 14, 0.80
-#: Fused lines: entries a line may hold and its least ratio, in general; the same for income statements, where a
-#: line looks ahead, and acts alone only from the strong score on.
+#: Fused lines: entries a line may hold and its least ratio, in general; the same for income statements, entries that may
+#: be missing between two lines, least score of a match, and of one that needs no flag.
 FUSED, FUSED_RATIO, FUSED_CPC, AHEAD, WEAK, STRONG = 4, 0.55, 3, 12, 0.58, 0.72
 #: Words of header lines, sections and money units in them, and titles inside an income statement.
 HEADER_WORDS = ("brut", "net", "exercice", "operations", "designation", "nature", "totaux", "amort", "elements", "rubrique", "col")
@@ -123,49 +123,63 @@ def split_fused(rows: list[tuple[str, list[str]]], expected: list[str]) -> list[
 
 def row_kind(key: str) -> str:
     """VIDE, TOTAL, RESULTAT, TITRE_SECTION or DETAIL of a word-normalised income-statement label."""
-    if not key:
-        return "VIDE"
-    padded = f" {key} "
-    return "TOTAL" if " total " in padded else "RESULTAT" if " resultat " in padded else "TITRE_SECTION" if key in TITLES else "DETAIL"
+    words = frozenset(key.split())
+    marks = [("TOTAL", "total" in words), ("RESULTAT", "resultat" in words), ("TITRE_SECTION", key in TITLES), ("DETAIL", bool(words))]
+    return next((kind for kind, holds in marks if holds), "VIDE")
+
+
+def monotone(options: list[list[tuple[float, int, int]]], size: int, ahead: int = AHEAD) -> list[tuple[float, int, int] | None]:
+    """The option (score, start, n) of each line, or none, with the largest sum of scores such that the runs
+    ``start .. start + n`` of ``size`` entries follow one another, each at most ``ahead`` entries behind the last.
+
+    Of equal sums the one that leaves entries for later lines is taken.
+    """
+    best = np.full(size + 1, -np.inf)
+    best[0] = 0.0
+    steps = []
+    for choices in options:
+        after, chosen = best.copy(), {}
+        for score, start, n in choices:
+            low = max(0, start - ahead + 1)
+            j = low + int(np.argmax(best[low : start + 1]))
+            if best[j] + score > after[start + n]:
+                after[start + n] = best[j] + score
+                chosen[start + n] = (j, (score, start, n))
+        best = after
+        steps.append(chosen)
+    at, out = int(np.argmax(best)), []
+    for chosen in reversed(steps):
+        j, option = chosen.get(at, (at, None))
+        out.append(option)
+        at = j
+    return out[::-1]
 
 
 def split_income(rows: list[tuple[str, list[str]]], expected: list[str]) -> list[tuple[str, list[str], str, str]]:
-    """(label, values, flag, kind): the same for income statements, by words and with a look ahead, so that a missing
-    line shifts nothing. Totals, results and titles are never split; a doubtful match is flagged and left alone."""
-    known = [tuple(words_of(e).split()) for e in expected]
-    used, out, at = [False] * len(known), [], 0
-    for label, values in rows:
-        key = words_of(re.sub(r"[-+]?\d[\d\s,.]*", " ", label or ""))
-        kind, mine = row_kind(key), tuple(key.split())
-        if kind == "VIDE":
-            out.append((label, values, "", kind))
-            continue
-        ahead = range(at, min(at + AHEAD, len(known)))
+    """(label, values, flag, kind): fused lines of an income statement as lines of their own.
+
+    Every line is scored against the entries and the runs of up to three of them, and the best monotone assignment of
+    the whole table is taken, so a missing line shifts nothing. Totals, results and titles hold their place but are
+    never split; a run of several entries needs the strong score; a doubtful match is flagged and left alone.
+    """
+    runs = WordTable([words_of(e).split() for e in expected], FUSED_CPC)
+    keys = [words_of(re.sub(r"[-+]?\d[\d\s,.]*", " ", label or "")) for label, _ in rows]
+    kinds = [row_kind(k) for k in keys]
+    scored = [runs.scores(k.split(), WEAK) if kind != "VIDE" else [] for k, kind in zip(keys, kinds)]
+    allowed = [[o for o in options if o[0] >= (WEAK if o[2] == 1 else STRONG) and (o[2] == 1 or kind == "DETAIL")] for options, kind in zip(scored, kinds)]
+    out = []
+    for (label, values), kind, options, choice in zip(rows, kinds, scored, monotone(allowed, len(expected))):
         if kind != "DETAIL":
             out.append((label, values, "", kind))
-            hit = next((j for j in ahead if not used[j] and token_score(mine, known[j]) >= WEAK), None)
-            if hit is not None:
-                used[hit], at = True, hit + 1
-            continue
-        options = []
-        for start in ahead:
-            for n in range(1, FUSED_CPC + 1):
-                if start + n > len(known) or any(used[start : start + n]):
-                    break
-                options.append((token_score(mine, sum(known[start : start + n], ())), -start, -n))
-        score, start, n = max(options, default=(0.0, 0, 0))
-        start, n = -start, -n
-        if score < WEAK:
-            out.append((label, values, f"NON_RECONNU score={score:.2f}", "NON_RECONNU"))
-        elif n > 1 and score < STRONG:
-            out.append((label, values, f"FUSION_POSSIBLE score={score:.2f} n={n}", "NON_RECONNU"))
+        elif choice is None:
+            score, n = max(((s, n) for s, _, n in options), default=(0.0, 0))
+            out.append((label, values, f"FUSION_POSSIBLE score={score:.2f} n={n}" if n > 1 else f"NON_RECONNU score={score:.2f}", "NON_RECONNU"))
+        elif choice[2] == 1:
+            out.append((label, values, "" if choice[0] >= STRONG else f"CORRESPONDANCE_INCERTAINE score={choice[0]:.2f}", "DETAIL"))
         else:
-            used[start : start + n] = [True] * n
-            at = start + n
-            if n == 1:
-                out.append((label, values, "" if score >= STRONG else f"CORRESPONDANCE_INCERTAINE score={score:.2f}", "DETAIL"))
-            else:
-                out += [(expected[start + k], values if k == 0 else [""] * len(values), f"LIGNE_ECLATEE n={n} confiance={score:.2f}", "DETAIL") for k in range(n)]
+            score, start, n = choice
+            blank = [""] * len(values)
+            out += [(entry, blank if k else values, f"LIGNE_ECLATEE n={n} confiance={score:.2f}", "DETAIL") for k, entry in enumerate(expected[start : start + n])]
     return out
 
 

@@ -5,52 +5,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The subtotal identities of the account catalogue. ``=`` adds the parts, ``-`` takes the later ones off.
-IDENTITIES = """
-Actif_A = Actif_A1 Actif_A2 Actif_A3
-Actif_B = Actif_B1 Actif_B2 Actif_B3 Actif_B4 Actif_B5
-Actif_C = Actif_C1 Actif_C2 Actif_C3 Actif_C4 Actif_C5 Actif_C6 Actif_C7
-Actif_D = Actif_D1 Actif_D2 Actif_D3 Actif_D4
-Actif_E = Actif_E1 Actif_E2
-Actif_F = Actif_F1 Actif_F2 Actif_F3 Actif_F4 Actif_F5
-Actif_G = Actif_G1 Actif_G2 Actif_G3 Actif_G4 Actif_G5 Actif_G6 Actif_G7
-Actif_tresor = Actif_tresor1 Actif_tresor2 Actif_tresor3 Actif_tresor4
-Actif_TOTAL_I = Actif_A Actif_B Actif_C Actif_D Actif_E
-Actif_TOTAL_II = Actif_F Actif_G Actif_H Actif_I
-Actif_TOTAL_GENERAL = Actif_TOTAL_I Actif_TOTAL_II Actif_tresor
-Passif_A = Passif_A2 Passif_A_nonappele Passif_A6 Passif_A7 Passif_A8 Passif_A9 Passif_A10 Passif_A11 Passif_A12
-Passif_B = Passif_B1 Passif_B2
-Passif_C = Passif_C1 Passif_C2
-Passif_D = Passif_D1 Passif_D2
-Passif_E = Passif_E1 Passif_E2
-Passif_F = Passif_F1 Passif_F2 Passif_F3 Passif_F4 Passif_F5 Passif_F6 Passif_F7 Passif_F8
-Passif_tresor = Passif_tresor1 Passif_tresor2 Passif_tresor3
-Passif_TOTAL_I = Passif_A Passif_B Passif_C Passif_D Passif_E
-Passif_TOTAL_II = Passif_F Passif_G Passif_H
-Passif_TOTAL_GENERAL = Passif_TOTAL_I Passif_TOTAL_II Passif_tresor
-CPC_II = CPC_II_1 CPC_II_2 CPC_II_3 CPC_II_4 CPC_II_5 CPC_II_6 CPC_II_7
-CPC_III - CPC_I CPC_II
-CPC_IV = CPC_IV_1 CPC_IV_2 CPC_IV_3 CPC_IV_4
-CPC_V = CPC_V_1 CPC_V_2 CPC_V_3 CPC_V_4
-CPC_VI - CPC_IV CPC_V
-CPC_VII = CPC_III CPC_VI
-CPC_VIII = CPC_VIII_1 CPC_VIII_2 CPC_VIII_3 CPC_VIII_4 CPC_VIII_5
-CPC_IX = CPC_IX_1 CPC_IX_2 CPC_IX_3 CPC_IX_4
-CPC_X - CPC_VIII CPC_IX
-CPC_XI = CPC_VII CPC_X
-CPC_XIII - CPC_XI CPC_XII
-CPC_TOTAL_PRODUITS = CPC_I CPC_IV CPC_VIII
-CPC_TOTAL_CHARGES = CPC_II CPC_V CPC_IX CPC_XII
-"""
-TOLERANCE = 1.0
-
 #: (total, sign of the later parts, parts)
 Rule = tuple[str, int, list[str]]
-
-
-def parse_rules(text: str = IDENTITIES) -> list[Rule]:
-    rows = (line.split() for line in text.strip().splitlines())
-    return [(total, 1 if sign == "=" else -1, parts) for total, sign, *parts in rows]
+#: The subtotal identities of the account catalogue.
+IDENTITIES: list[Rule] = [
+    ("Actif_A", 1, ["Actif_A1", "Actif_A2", "Actif_A3"]),
+    ("Actif_B", 1, ["Actif_B1", "Actif_B2", "Actif_B3", "Actif_B4", "Actif_B5"]),
+    ("Actif_C", 1, ["Actif_C1", "Actif_C2", "Actif_C3", "Actif_C4", "Actif_C5", "Actif_C6", "Actif_C7"]),
+    ("Actif_D", 1, ["Actif_D1", "Actif_D2", "Actif_D3", "Actif_D4"]),
+    ("Actif_E", 1, ["Actif_E1", "Actif_E2"]),
+    ("Actif_F", 1, ["Actif_F1", "Actif_F2", "Actif_F3", "Actif_F4", "Actif_F5"]),
+    ("Actif_G", 1, ["Actif_G1", "Actif_G2", "Actif_G3", "Actif_G4", "Actif_G5", "Actif_G6", "Actif_G7"]),
+    ("Actif_tresor", 1, ["Actif_tresor1", "Actif_tresor2", "Actif_tresor3", "Actif_tresor4"]),
+    ("Actif_TOTAL_I", 1, ["Actif_A", "Actif_B", "Actif_C", "Actif_D", "Actif_E"]),
+    ("Actif_TOTAL_II", 1, ["Actif_F", "Actif_G", "Actif_H", "Actif_I"]),
+    ("Actif_TOTAL_GENERAL", 1, ["Actif_TOTAL_I", "Actif_TOTAL_II", "Actif_tresor"]),
+    ("Passif_A", 1, ["Passif_A2", "Passif_A_nonappele", "Passif_A6", "Passif_A7", "Passif_A8", "Passif_A9", "Passif_A10", "Passif_A11", "Passif_A12"]),
+    ("Passif_B", 1, ["Passif_B1", "Passif_B2"]),
+    ("Passif_C", 1, ["Passif_C1", "Passif_C2"]),
+    ("Passif_D", 1, ["Passif_D1", "Passif_D2"]),
+    ("Passif_E", 1, ["Passif_E1", "Passif_E2"]),
+    ("Passif_F", 1, ["Passif_F1", "Passif_F2", "Passif_F3", "Passif_F4", "Passif_F5", "Passif_F6", "Passif_F7", "Passif_F8"]),
+    ("Passif_tresor", 1, ["Passif_tresor1", "Passif_tresor2", "Passif_tresor3"]),
+    ("Passif_TOTAL_I", 1, ["Passif_A", "Passif_B", "Passif_C", "Passif_D", "Passif_E"]),
+    ("Passif_TOTAL_II", 1, ["Passif_F", "Passif_G", "Passif_H"]),
+    ("Passif_TOTAL_GENERAL", 1, ["Passif_TOTAL_I", "Passif_TOTAL_II", "Passif_tresor"]),
+    ("CPC_II", 1, ["CPC_II_1", "CPC_II_2", "CPC_II_3", "CPC_II_4", "CPC_II_5", "CPC_II_6", "CPC_II_7"]),
+    ("CPC_III", -1, ["CPC_I", "CPC_II"]),
+    ("CPC_IV", 1, ["CPC_IV_1", "CPC_IV_2", "CPC_IV_3", "CPC_IV_4"]),
+    ("CPC_V", 1, ["CPC_V_1", "CPC_V_2", "CPC_V_3", "CPC_V_4"]),
+    ("CPC_VI", -1, ["CPC_IV", "CPC_V"]),
+    ("CPC_VII", 1, ["CPC_III", "CPC_VI"]),
+    ("CPC_VIII", 1, ["CPC_VIII_1", "CPC_VIII_2", "CPC_VIII_3", "CPC_VIII_4", "CPC_VIII_5"]),
+    ("CPC_IX", 1, ["CPC_IX_1", "CPC_IX_2", "CPC_IX_3", "CPC_IX_4"]),
+    ("CPC_X", -1, ["CPC_VIII", "CPC_IX"]),
+    ("CPC_XI", 1, ["CPC_VII", "CPC_X"]),
+    ("CPC_XIII", -1, ["CPC_XI", "CPC_XII"]),
+    ("CPC_TOTAL_PRODUITS", 1, ["CPC_I", "CPC_IV", "CPC_VIII"]),
+    ("CPC_TOTAL_CHARGES", 1, ["CPC_II", "CPC_V", "CPC_IX", "CPC_XII"]),
+]
+TOLERANCE = 1.0
 
 
 def active_rules(rules: list[Rule], columns: list[str]) -> list[Rule]:

@@ -10,7 +10,9 @@ from ledgerlake.functions.fuzzy import WordRuns, label_key, similarity, words_of
 from ledgerlake.operators import align as A
 from ledgerlake.operators import layout as L
 from ledgerlake.plans.catalog import query
+from ledgerlake.plans.quality import MOST_ENTRIES
 from ledgerlake.plans.texts import block_type, blocks
+from ledgerlake.session import broadcast_if_small, collected
 from ledgerlake.sources.tables import table
 
 MOST_NAMES, LEAST_NAME = 200_000, 0.55
@@ -19,7 +21,7 @@ MOST_NAMES, LEAST_NAME = 200_000, 0.55
 def entries(spark: SparkSession, folder: str) -> dict[str, list[tuple[str, str]]]:
     """Section -> (code, label) in matching order, of the fixed catalogue."""
     out: dict[str, list[tuple[str, str]]] = {}
-    for r in sorted(table(spark, folder, "champs_cifen").collect(), key=lambda r: (r.section, r.pos)):
+    for r in sorted(collected(table(spark, folder, "champs_cifen"), MOST_ENTRIES), key=lambda r: (r.section, r.pos)):
         out.setdefault(r.section, []).append((r.code, r.label))
     return out
 
@@ -127,5 +129,5 @@ def page_indicators(spark: SparkSession, folder: str) -> DataFrame:
     values = sums.select("c_nationkey", "first", "an", F.lit(40).alias("y"), F.col("v").cast("string").alias("text"))
     numbers = header.unionByName(values).select("c_nationkey", "first", (300 + (F.col("an") - F.col("first")) * 200).cast("double").alias("left"), F.col("y").cast("double").alias("top"), F.lit(60.0).alias("width"), "text")
     labels = pages.select("c_nationkey", "first", F.lit(10.0).alias("left"), F.lit(41.0).alias("top"), F.lit(80.0).alias("width"), F.lit("Chiffre").alias("text"))
-    words = numbers.unionByName(labels).withColumn("height", F.lit(12.0)).join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).withColumn("page", F.concat_ws(" ", "n_name", F.concat_ws("-", "first", F.col("first") + 2)))
-    return L.read_pages(words.select("page", "left", "top", "width", "height", "text"), L.indicator_table)
+    words = numbers.unionByName(labels).withColumn("height", F.lit(12.0)).join(broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey")).withColumn("page", F.concat_ws(" ", "n_name", F.concat_ws("-", "first", F.col("first") + 2)))
+    return L.indicator_table(words.select("page", "left", "top", "width", "height", "text"))

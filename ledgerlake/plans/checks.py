@@ -10,7 +10,7 @@ from ledgerlake.plans.catalog import query
 from ledgerlake.session import broadcast_if_small
 from ledgerlake.sources.tables import nan_to_null, table
 
-RULES = R.parse_rules()
+RULES = R.IDENTITIES
 #: Fixed value: the sector left out of the scope in the two-scope rates.
 OUT_OF_SCOPE = "Assurances"
 #: Stock indicators of the stability rule.

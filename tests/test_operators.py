@@ -17,7 +17,7 @@ def test_rules_with_blanks(spark):
     got = {r.id: (r.evaluable, r.ok) for r in rules.evaluated(facts, [("T", 1, ["A", "B", "C"])], 1.0, ["id"]).collect()}
     assert got == {1: (True, True), 2: (False, None), 3: (True, False), 4: (True, True), 5: (True, False)}
     assert rules.evaluated(facts, [("T", 1, ["A", "X"])], 1.0, ["id"]).count() == 0
-    assert len(rules.parse_rules()) == 34
+    assert len(rules.IDENTITIES) == 34 and all(sign in (1, -1) and len(parts) >= 2 for _, sign, parts in rules.IDENTITIES)
 
 
 def test_percent_rounds_ties_to_even(spark):
@@ -89,7 +89,9 @@ def test_label_key_and_similarity():
     assert fuzzy.label_key(None) == "" and fuzzy.label_key("12. III") == ""
     assert fuzzy.similarity("stocks", "stocks et encours") >= 0.9 and fuzzy.similarity("", "x") == 0.0
     assert fuzzy.holds_words("le total des capitaux propre net", "capitaux propres") and not fuzzy.holds_words("a b", "c d e")
-    assert fuzzy.holds_letters("xx bilan actlf yy", "bilan actif")
+    assert fuzzy.holds_letters("xx bilan actlf yy", "bilan actif") and not fuzzy.holds_letters("xx compte courant yy", "bilan actif") and not fuzzy.holds_letters("", "abc")
+    table = fuzzy.WordTable([["impots", "et", "taxes"], ["charges", "de", "personnel"]], 2)
+    assert [(round(s, 2), i, n) for s, i, n in table.scores(["impots", "et", "taxes"], 0.5)] == [(1.0, 0, 1), (0.6, 0, 2)] and table.scores([], 0.1) == []
     assert fuzzy.group_thousands("capital 1 250 000 000,50 DH") == "1 250 000 000,50" and fuzzy.group_thousands("x") is None
 
 
@@ -127,23 +129,41 @@ def test_partial_tables_take_their_neighbours():
     assert alone["partiel"] and alone["confiance"] == 0.3
 
 
-def word(text, left, top, width=40, height=10):
-    return {"text": text, "left": left, "top": top, "width": width, "height": height}
+WORDS = "page string, text string, left double, top double, width double, height double"
+
+
+def word(text, left, top, width=40, height=10, page="p1"):
+    return (page, text, float(left), float(top), float(width), float(height))
 
 
 def test_page_layout(spark):
     page = [word("Indicateurs", 0, 0), word("2022", 200, 0), word("2023", 300, 0), word("2024", 400, 1), word("Chiffre", 0, 30), word("12,5", 200, 31), word("13", 300, 30), word("1", 390, 30, 10), word("4", 405, 30, 10), word("Effectif", 0, 60), word("7", 215, 60, 20)]
-    got = layout.indicator_table(page)
-    assert got == {"chiffre_affaires_annee_1": 12.5, "chiffre_affaires_annee_2": 13.0, "chiffre_affaires_annee_3": 14.0, "effectif_annee_1": 7.0}
-    assert [len(line) for line in layout.lines_of(page)] == [4, 5, 2]
-    assert layout.columns_of([1, 2, 50, 52, 100]) == [1.5, 51.0, 100.0] and layout.columns_of([]) == []
-    assert layout.bands([("a", 100), ("b", 140), ("c", 900)]) == [("a", -30.0, 120.0), ("b", 120.0, 270.0), ("c", 770.0, 1030.0)]
-    grid = layout.value_grid([word("Terrains", 0, 0), word("Constructions", 200, 0), word("2.576", 0, 40), word("6153", 205, 40), word("2023", 400, 40)])
-    assert grid == {"terrains": 2576.0, "constructions": 6153.0}
-    assert layout.anchors(page, {"t": ["chiffre"], "u": ["effectif", "groupe"]}, frozenset("u"))["t"] == 30 and layout.best_pass([({"a": 1}, 5), ({"a": 1, "b": 2}, 9), ({"a": 1, "c": 2}, 7)]) == {"a": 1, "c": 2}
-    assert layout.voted([{"d": "x"}, {"d": "y"}, {"d": "y"}], "d") == "y" and layout.first_filled([{"d": ""}, {"d": "z"}], "d") == "z"
-    df = spark.createDataFrame([("p1", *[float(w[c]) for c in ("left", "top", "width", "height")], w["text"]) for w in page] + [("p2", None, None, None, None, None)], "page string, left double, top double, width double, height double, text string")
-    assert layout.read_pages(df, layout.indicator_table).count() == 4
+    # a page of two sections, a repeated indicator and a header that does not name all columns
+    other = [word(*w, page="p2") for w in [("Valeurs", 0, 0), ("2023", 200, 0), ("Social", 0, 20), ("CAF", 0, 40), ("5", 215, 40, 20), ("6", 315, 40, 20), ("CAF", 0, 60), ("7", 215, 60, 20), ("Consolidé", 0, 80), ("PNB", 0, 100), ("-8,5", 310, 100, 20)]]
+    words = spark.createDataFrame([*page, *other, ("p3", None, None, None, None, None), word("seul", 0, 0, page="p4")], WORDS)
+    got = {(r.page, r.champ): r.valeur for r in layout.indicator_table(words, sections=("social", "consolide")).collect()}
+    assert got == {
+        ("p1", "chiffre_affaires_annee_1"): 12.5, ("p1", "chiffre_affaires_annee_2"): 13.0, ("p1", "chiffre_affaires_annee_3"): 14.0, ("p1", "effectif_annee_1"): 7.0,
+        ("p2", "social_caf_annee_1"): 5.0, ("p2", "social_caf_annee_3"): 6.0, ("p2", "social_caf_dup2_annee_1"): 7.0, ("p2", "consolide_pnb_annee_2"): -8.5,
+    }
+    assert [(r.ligne, r.label, len(r.numbers)) for r in layout.lines_of(words).where("page = 'p1'").orderBy("ligne").collect()] == [(0, "indicateurs", 3), (1, "chiffre", 4), (2, "effectif", 1)]
+    edges = spark.createDataFrame([("p", float(x)) for x in (1, 2, 50, 52, 100)], "page string, x double")
+    assert [r.x for r in layout.columns_of(edges).orderBy("colonne").collect()] == [1.5, 51.0, 100.0] and layout.columns_of(edges.limit(0)).count() == 0
+    anchors = spark.createDataFrame([("p", "a", 100.0), ("p", "b", 140.0), ("p", "c", 900.0)], "page string, nom string, x double")
+    assert [tuple(r)[1:] for r in layout.bands(anchors).orderBy("nom").collect()] == [("a", -30.0, 120.0), ("b", 120.0, 270.0), ("c", 770.0, 1030.0)]
+    grid = spark.createDataFrame([word("Terrains", 0, 0), word("Constructions", 200, 0), word("2.576", 0, 40), word("6153", 205, 40), word("2023", 400, 40), word("9", 0, 900), word("rien", 0, 0, page="p2")], WORDS)
+    assert {(r.page, r.champ): r.valeur for r in layout.value_grid(grid).collect()} == {("p1", "terrains"): 2576.0, ("p1", "constructions"): 6153.0}
+    found = layout.section_anchors(words, {"t": ["chiffre"], "u": ["effectif", "groupe"], "v": ["effectif", "groupe"]}, frozenset("u"))
+    assert {(r.page, r.nom): r.haut for r in found.collect()} == {("p1", "t"): 30.0, ("p1", "v"): 60.0}
+    passes = spark.createDataFrame([("p", 1, 5.0, "a"), ("p", 2, 9.0, "a"), ("p", 2, 9.0, "b"), ("p", 3, 7.0, "a"), ("p", 3, 7.0, "c")], "page string, passe int, largeur double, champ string")
+    assert layout.best_pass(passes).first().passe == 3
+    assert layout.pairs(layout.np.array([[1.0, 2.0], [1.5, 9.0]])) == [(0, 0), (1, 1)] and layout.pairs(layout.np.zeros((0, 2))) == []
+
+
+def test_the_best_assignment_is_monotone():
+    options = [[(0.9, 2, 1), (0.8, 0, 1)], [(0.9, 1, 1)], [(0.7, 0, 1)]]
+    assert align.monotone(options, 3) == [(0.8, 0, 1), (0.9, 1, 1), None]
+    assert align.monotone([[(0.9, 20, 1)]], 25) == [None] and align.monotone([], 3) == [] and align.monotone([[]], 0) == [None]
 
 
 def test_files_and_sinks(spark, tmp_path):
