@@ -123,3 +123,26 @@ def sign_check(balance: Column, plus: Column, minus: Column, tolerance: float =
     """Null where the balance agrees, ERREUR where only its sign is wrong, else ALERTE; null inputs are not judged."""
     expected = plus - minus
     return F.when(F.abs(balance - expected) <= tolerance, F.lit(None)).when(F.abs(balance + expected) <= tolerance, "ERREUR").when((balance - expected).isNotNull(), "ALERTE")
+
+
+#: Plausible costs of one head.
+LEAST_COST, MOST_COST = 30_000, 900_000
+
+
+def cost_per_head(facts: DataFrame, entity: str, year: str, costs: str, heads: str, group_heads: str) -> DataFrame:
+    """(entity, year, par_tete) where costs, in millions, per head leave the plausible range.
+
+    The heads of the group stand in only for an entity that states none of its own in any year; heads that are not
+    positive are skipped.
+    """
+    known = facts.groupBy(entity).agg((F.count(heads) > 0).alias("propre"))
+    used = F.when(F.col("propre"), F.col(heads)).otherwise(F.col(group_heads))
+    each = facts.join(known, entity).withColumn("tetes", used).where("tetes > 0").select(entity, year, (F.col(costs) * 1e6 / F.col("tetes")).alias("par_tete"))
+    return each.where(~F.col("par_tete").between(LEAST_COST, MOST_COST))
+
+
+def few_filled(rows: DataFrame, columns: list[str], least: int) -> Column:
+    """Whether a row fills fewer than ``least`` of ``columns``; a blank text fills nothing, any other does."""
+    kinds = dict(rows.dtypes)
+    filled = [(F.trim(c) != "") if kinds[c] == "string" else F.col(c).isNotNull() for c in columns]
+    return sum((F.coalesce(f.cast("int"), F.lit(0)) for f in filled), F.lit(0)) < least

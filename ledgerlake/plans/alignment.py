@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.fuzzy import WordRuns, label_key, similarity, words_of
 from ledgerlake.operators import align as A
 from ledgerlake.operators import layout as L
+from ledgerlake.operators.aliases import grams
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.quality import MOST_ENTRIES
 from ledgerlake.plans.texts import block_type, blocks
-from ledgerlake.session import broadcast_if_small, collected
+from ledgerlake.session import broadcast_if_small, collected, cut
 from ledgerlake.sources.tables import table
 
-MOST_NAMES, LEAST_NAME = 200_000, 0.55
+#: Least similarity of a name, and least share of the shorter name's bigrams that two names to be compared have in common.
+LEAST_NAME, LEAST_GRAMS = 0.55, 0.3
 
 
 def entries(spark: SparkSession, folder: str) -> dict[str, list[tuple[str, str]]]:
@@ -59,27 +61,31 @@ def section_values(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def fuzzy_name(spark: SparkSession, folder: str) -> DataFrame:
-    """Best issuer of each distinct company spelling by ratio and containment, from 0.55 on; the first of equals.
+    """(nom, trouve, score): best issuer of each distinct company spelling by ratio and containment, from 0.55 on.
 
-    The issuer list goes to the workers in one piece after a check of its size; every spelling meets every issuer.
+    Equal keys need no comparison; the other spellings meet the issuers with which they share a part of their bigrams.
+    Of equal scores the first name is taken; a spelling without issuer has a null one.
     """
-    rows = table(spark, folder, "emetteurs", "nom").where("nom is not null").limit(MOST_NAMES + 1).collect()
-    if len(rows) > MOST_NAMES:
-        raise ValueError("too many issuers for one list")
-    known = [(n, label_key(n)) for n in sorted(r.nom for r in rows)]
-
-    @F.pandas_udf("struct<trouve:string,score:double>")
-    def best(names: pd.Series) -> pd.DataFrame:
-        out = []
-        for name in names:
-            key = label_key(name)
-            exact = next((n for n, k in known if k == key), None)
-            score, found = (1.0, exact) if exact else max(((similarity(key, k), n) for n, k in known), key=lambda x: x[0], default=(0.0, None))
-            out.append((found, round(score, 3)) if score >= LEAST_NAME else (None, round(score, 3)))
-        return pd.DataFrame(out, columns=["trouve", "score"])
-
-    names = table(spark, folder, "data_cifen", F.col("entreprise").alias("nom")).where("nom is not null").distinct()
-    return names.select("nom", best("nom").alias("b")).select("nom", "b.trouve", "b.score")
+
+    @F.pandas_udf("string")
+    def keyed(names: pd.Series) -> pd.Series:
+        return names.map(label_key)
+
+    @F.pandas_udf("double")
+    def score(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([round(similarity(x, y), 3) for x, y in zip(a, b)], dtype=float)
+
+    known = cut(table(spark, folder, "emetteurs", F.col("nom").alias("trouve")).where("trouve is not null").distinct().withColumn("cle_e", keyed("trouve")).where("cle_e <> ''"))
+    names = cut(table(spark, folder, "data_cifen", F.col("entreprise").alias("nom")).where("nom is not null").distinct().withColumn("cle", keyed("nom")))
+    exact = names.join(known, F.col("cle") == F.col("cle_e")).groupBy("nom").agg(F.min("trouve").alias("trouve")).withColumn("score", F.lit(1.0))
+    rest = names.join(exact.select("nom"), "nom", "left_anti")
+    index = known.select("trouve", "cle_e", F.size(grams(F.col("cle_e"))).alias("m"), F.explode(grams(F.col("cle_e"))).alias("g"))
+    asked = rest.select("nom", "cle", F.size(grams(F.col("cle"))).alias("n"), F.explode(grams(F.col("cle"))).alias("g"))
+    shared = asked.join(index, "g").groupBy("nom", "cle", "trouve", "cle_e", "n", "m").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= F.least("n", "m") * LEAST_GRAMS)
+    scored = shared.withColumn("score", score("cle", "cle_e")).where(F.col("score") >= LEAST_NAME)
+    best = scored.groupBy("nom").agg(F.min(F.struct((-F.col("score")).alias("s"), "trouve")).alias("b"))
+    found = exact.unionByName(best.select("nom", "b.trouve", (-F.col("b.s")).alias("score")))
+    return names.select("nom").join(found, "nom", "left")
 
 
 @query()

@@ -237,11 +237,18 @@ def stability_lag(spark: SparkSession, folder: str) -> DataFrame:
     return R.stability(series, "entreprise", "annee", "valeur").select("entreprise", "champ", "annee_avant", "annee", "valeur", "avant")
 
 
-@query(f"""SELECT row_id, ({SQL_FILLED})::BIGINT AS n_remplis FROM data_cifen WHERE ({SQL_FILLED}) < {len(FILLED) // 2}""")
+#: Fixed value: fields a record must fill; and the fields of a collected file that count.
+LEAST_FIELDS = 3
+FILE_FIELDS = ["titre", "url_pdf", "type_detecte", "nb_pages", "taille_octets", "erreur"]
+SQL_FIELDS = " + ".join(f"(coalesce(trim({c}::VARCHAR), '') <> '')::INTEGER" for c in FILE_FIELDS)
+
+
+@query(f"SELECT cand_id, ({SQL_FIELDS})::INTEGER AS n_remplis FROM doc_candidates WHERE ({SQL_FIELDS}) < {LEAST_FIELDS}")
 def completeness_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows with fewer than half of their accounts filled."""
-    df = facts(spark, folder, "row_id", *FILLED)
-    return df.select("row_id", F.expr(f"cast({ROW_FILLED} as bigint)").alias("n_remplis")).where(F.col("n_remplis") < len(FILLED) // 2)
+    """Collected files with fewer than three filled fields, keys aside; a blank text fills nothing."""
+    df = table(spark, folder, "doc_candidates", "cand_id", *FILE_FIELDS)
+    filled = sum(((F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != "").cast("int") for c in FILE_FIELDS), F.lit(0))
+    return df.where(R.few_filled(df, FILE_FIELDS, LEAST_FIELDS)).select("cand_id", filled.alias("n_remplis"))
 
 
 @query("""

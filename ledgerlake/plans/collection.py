@@ -173,15 +173,21 @@ def name_resolution(spark: SparkSession, folder: str) -> DataFrame:
     return asked.select("nom").join(best, "nom", "left")
 
 
-@query("""
-WITH q AS (SELECT cand_id, list_distinct(list_filter(string_split(lower(titre), ' '), lambda w: length(w) >= 3)) AS mots, list_distinct(string_split(lower(entreprise), ' ')) AS page FROM doc_candidates)
-SELECT cand_id, len(list_filter(page, lambda w: list_contains(mots, w)))::BIGINT AS communs FROM q WHERE len(page) > 0 AND len(list_filter(page, lambda w: list_contains(mots, w))) >= 0.9 * len(page)""")
+SQL_WORDS = "list_distinct(list_filter(string_split(" + SQL_KEY + ", ' '), lambda w: length(w) >= 3))"
+
+
+@query(f"""
+WITH q AS (SELECT DISTINCT entreprise AS nom, {SQL_WORDS.format(c='entreprise')} AS mots FROM data_cifen WHERE entreprise IS NOT NULL), p AS (SELECT nom AS page, {SQL_WORDS.format(c='nom')} AS mots FROM emetteurs),
+w AS (SELECT nom, len(mots) AS taille, unnest(mots) AS mot FROM q), v AS (SELECT DISTINCT page, unnest(mots) AS mot FROM p)
+SELECT nom, page, count(*) AS communs FROM w JOIN v USING (mot) GROUP BY nom, page, taille HAVING count(*) >= 0.9 * taille""")
 def token_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """Titles that name at least nine tenths of the company's words."""
-    docs = candidates(spark, folder, "cand_id", "titre", "entreprise")
-    words = F.array_distinct(F.filter(F.split(F.lower("titre"), " "), lambda w: F.length(w) >= 3))
-    page = F.array_distinct(F.split(F.lower("entreprise"), " "))
-    return docs.select("cand_id", F.size(F.array_intersect(page, words)).cast("bigint").alias("communs"), F.size(page).alias("n")).where(F.col("communs") >= 0.9 * F.col("n")).drop("n")
+    """Pages that hold at least nine tenths of a spelling's words of three letters or more: words meet by an index, so only
+    names with a word in common are compared."""
+    words = lambda c: F.array_distinct(F.filter(F.split(norm_name_delete(c), " "), lambda w: F.length(w) >= 3))
+    asked = table(spark, folder, "data_cifen", F.col("entreprise").alias("nom")).where("nom is not null").distinct().withColumn("mots", words(F.col("nom")))
+    pages = table(spark, folder, "emetteurs", F.col("nom").alias("page")).distinct().select("page", F.explode(words(F.col("page"))).alias("mot"))
+    common = asked.select("nom", F.size("mots").alias("taille"), F.explode("mots").alias("mot")).join(pages, "mot").groupBy("nom", "page", "taille").agg(F.count(F.lit(1)).alias("communs"))
+    return common.where(F.col("communs") >= 0.9 * F.col("taille")).select("nom", "page", "communs")
 
 
 @query("SELECT cand_id, entreprise FROM doc_candidates d WHERE EXISTS (SELECT 1 FROM doc_candidates f WHERE coalesce(f.erreur, '') <> '' AND f.url_pdf = d.url_pdf)")

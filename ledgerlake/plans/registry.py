@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.plans import alignment, checks, collection, copies, merges, quality, texts, units  # noqa: F401
+from ledgerlake.plans import alignment, checks, collection, copies, merges, quality, selection, texts, units  # noqa: F401
 from ledgerlake.plans.catalog import ORACLES, QUERIES, Query
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.session import cut
+
 #: Texts that a string-typed merge reads as missing.
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 PAGE_COUNTS = "map<string,map<string,struct<file:string,pages:int,full_path:string>>>"
@@ -58,12 +62,13 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(chemin, dossier, nom, annee, octets, modifie_le): files below a folder, as a table; content is not read."""
+    """(chemin, dossier, nom, annee, octets, modifie_le): files below a folder, as a table; content is not read. A name that
+    is no year from 1990 to 2100 has none."""
     files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(folder).select("path", "length", "modificationTime")
     parts = F.split("path", "/")
     name = F.element_at(parts, -1)
     return files.select(
-        F.col("path").alias("chemin"), F.element_at(parts, -2).alias("dossier"), name.alias("nom"), F.regexp_extract(name, r"^(\d{4})\.", 1).try_cast("int").alias("annee"),
+        F.col("path").alias("chemin"), F.element_at(parts, -2).alias("dossier"), name.alias("nom"), F.when(F.regexp_extract(name, r"^(\d{4})\.", 1).try_cast("int").between(1990, 2100), F.regexp_extract(name, r"^(\d{4})\.", 1).try_cast("int")).alias("annee"),
         F.col("length").alias("octets"), F.col("modificationTime").alias("modifie_le"),
     )
 
@@ -97,6 +102,62 @@ def table_rows(html: Column) -> Column:
     return F.transform(rows, lambda r: F.transform(cells(r), lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]+>", " "), r"\s+", " "))))
 
 
+def statement_rows(html: Column, base: str) -> Column:
+    """Array of (annee, genre, url) of the table of statements in a page, null where its header names no year.
+
+    The year is that of the first cell, else the first of the whole row; the link is that of the last cell; rows without
+    year or link are left out.
+    """
+    raw = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    cells = lambda r: F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
+    bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]+>", " "), r"\s+", " "))
+    year = lambda t: F.nullif(F.regexp_extract(t, r"((?:19|20)\d{2})", 1), F.lit("")).cast("int")
+
+    def read(row: Column) -> Column:
+        parts = cells(row)
+        first, last = F.get(parts, F.lit(0)), F.get(parts, F.size(parts) - 1)
+        return F.struct(F.coalesce(year(bare(first)), year(bare(row))).alias("annee"), bare(F.get(parts, F.lit(1))).alias("genre"), F.get(pdf_links(last, base), F.lit(0))["url"].alias("url"))
+
+    header = bare(F.get(raw, F.lit(0)))
+    rows = F.filter(F.transform(F.slice(raw, 2, F.greatest(F.size(raw) - 1, F.lit(0))), read), lambda r: r["annee"].isNotNull() & r["url"].isNotNull())
+    return F.when(header.rlike(r"(?i)ann[ée]e|year"), rows)
+
+
+def next_page(html: Column) -> Column:
+    """Address of the page that follows, by its ``rel``, null if none."""
+    tag = F.regexp_extract(html, r"(?is)<(?:a|link)\b[^>]*\brel\s*=\s*[\"']next[\"'][^>]*>", 0)
+    return F.nullif(F.regexp_extract(tag, r"(?is)href\s*=\s*[\"']([^\"']+)", 1), F.lit(""))
+
+
+def follow_pages(pages: DataFrame, first: DataFrame, most: int = 1000) -> DataFrame:
+    """(depart, url, pas, html): pages (url, html) reached from each ``first`` (url) by following the next page, every page
+    once. A step is one join; beyond ``most`` steps it is an error."""
+    held = pages.select("url", "html", next_page(F.col("html")).alias("suite"))
+    step = first.select(F.col("url").alias("depart"), "url").distinct().join(held, "url").withColumn("pas", F.lit(0))
+    seen = step = cut(step)
+    for i in range(1, most + 1):
+        ahead = step.where("suite is not null").select("depart", F.col("suite").alias("url")).join(seen.select("depart", "url"), ["depart", "url"], "left_anti")
+        step = cut(ahead.join(held, "url").withColumn("pas", F.lit(i)))
+        if step.isEmpty():
+            return seen.select("depart", "url", "pas", "html")
+        seen = cut(seen.unionByName(step))
+    raise ValueError(f"more than {most} pages in a row")
+
+
+def jobs_of(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
+    """Jobs (keys, chemin) found in either of two layouts of folders; the new layout counts where a job has both."""
+    both = new.select(*keys, F.struct(F.lit(0).alias("ordre"), "chemin").alias("c")).unionByName(old.select(*keys, F.struct(F.lit(1).alias("ordre"), "chemin").alias("c")))
+    return both.groupBy(*keys).agg(F.min("c").alias("c")).select(*keys, "c.chemin", F.when(F.col("c.ordre") == 0, "nouveau").otherwise("ancien").alias("disposition"))
+
+
+def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
+    """The table kept at ``path``; built and kept there where it does not exist, or by force."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if force or not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def expand_grid(html: str) -> list[list[str]]:
     """Rows of a table with spans of rows and columns carried into every cell they cover."""
     import re

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerlake.operators.select import append_new, upsert
+from ledgerlake.operators.select import upsert
+from ledgerlake.session import written
 
 
 def write_table(df: DataFrame, path: str, sep: str = ";", one_file: bool = False) -> None:
@@ -15,39 +15,44 @@ def write_table(df: DataFrame, path: str, sep: str = ";", one_file: bool = False
     (df.coalesce(1) if one_file else df).write.mode("overwrite").options(header=True, sep=sep, quote='"', escape='"').csv(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+#: Parts of a keyed table, by the hash of its key, and the column that tells them.
+BUCKETS, BUCKET = 64, "compartiment"
 
 
-def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put a written folder in the place of another; the old one goes only when the new one is complete."""
-    jvm = spark.sparkContext._jvm
-    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
-    fs = b.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex}")
-    if fs.exists(b):
-        fs.rename(b, old)
-    if not fs.rename(a, b):
-        raise OSError(f"could not put {new} in place of {path}")
-    fs.delete(old, True)
+def with_bucket(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(BUCKETS)).cast("int"))
+
+
+def read_target(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of a keyed table with their bucket; none where the table does not exist."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(full).parquet(path) if there else spark.createDataFrame([], full)
 
 
 def upsert_into(new: DataFrame, path: str, keys: list[str]) -> None:
-    """Upsert by key into a parquet table, written beside it and then swapped. A table of another schema is replaced."""
+    """Upsert by key into a parquet table. The table lies in parts by the hash of the key; only parts that new rows fall
+    into are read and written again, so a small batch costs its parts and not the table.
+
+    Each part is replaced as a whole when the job commits. A run that fails between parts is made good by running it
+    again, since an upsert of the same rows changes nothing.
+    """
     spark = new.sparkSession
-    existing = read_or_empty(spark, path, new.schema)
-    target = f"{path}.new-{uuid.uuid4().hex}"
-    upsert(existing, new, keys).sortWithinPartitions(*[F.col(k).cast("string") for k in keys]).write.parquet(target)
-    replace_folder(spark, target, path)
+    rows = written(with_bucket(new, keys))
+    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most BUCKETS
+    if not touched:
+        return
+    existing = read_target(spark, path, new.schema).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    merged = written(with_bucket(upsert(existing, rows.drop(BUCKET), keys), keys))
+    merged.repartition(len(touched), BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
 
 
 def append_into(new: DataFrame, path: str, keys: list[str]) -> None:
-    """Append the rows whose key the table lacks."""
-    existing = read_or_empty(new.sparkSession, path, new.schema)
-    new.join(existing.select(*keys).distinct(), keys, "left_anti").write.mode("append").parquet(path)
+    """Append the rows whose key the table lacks, each to its part."""
+    existing = read_target(new.sparkSession, path, new.schema)
+    fresh = new.join(existing.select(*keys).distinct(), keys, "left_anti")
+    with_bucket(fresh, keys).write.mode("append").partitionBy(BUCKET).parquet(path)
 
 
 def export_entities(df: DataFrame, path: str, entity: str) -> None:
@@ -61,6 +66,3 @@ def batch_reports(status: DataFrame, path: str) -> None:
     write_table(status.where("statut = 'FAILED'"), f"{path}/echecs")
     write_table(status.where("statut = 'SKIPPED_LARGE'"), f"{path}/volumineux")
 
-
-def merge_tables(existing: DataFrame, new: DataFrame, keys: list[str], edit: bool) -> DataFrame:
-    return upsert(existing, new, keys) if edit else append_new(existing, new, keys)

@@ -196,10 +196,39 @@ def test_files_and_sinks(spark, tmp_path):
     sinks.upsert_into(spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), target, ["k"])
     sinks.append_into(spark.createDataFrame([(3, "x"), (4, "d")], "k int, v string"), target, ["k"])
     assert {(r.k, r.v) for r in spark.read.parquet(target).collect()} == {(1, "a"), (2, "B"), (3, "c"), (4, "d")}
+    parts = {f.parent.name: f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    sinks.upsert_into(spark.createDataFrame([(2, "b2")], "k int, v string"), target, ["k"])
+    again = {f.parent.name: f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    assert sum(parts[p] != again[p] for p in parts) == 1 and {r.v for r in spark.read.parquet(target).where("k = 2").collect()} == {"b2"}
+    sinks.upsert_into(spark.createDataFrame([], "k int, v string"), target, ["k"])
+    assert spark.read.parquet(target).count() == 4
+    sinks.batch_reports(spark.createDataFrame([("a", "FAILED"), ("b", "SUCCESS")], "job string, statut string"), str(tmp_path / "batch"))
+    assert files.read_table(spark, str(tmp_path / "batch/echecs")).count() == 1 and files.read_table(spark, str(tmp_path / "batch/rapport")).count() == 2
     sinks.export_entities(rows, str(tmp_path / "entities"), "k")
     assert spark.read.json(str(tmp_path / "entities")).count() == 2
 
 
+def test_pages_and_jobs(spark, tmp_path):
+    page = "<table><tr><th>Année</th><th>Type</th><th>Lien</th></tr><tr><td>2020</td><td>RFA</td><td><a href='/a.pdf'>pdf</a></td></tr><tr><td>x</td><td>semestriel 2019</td><td><a href='b.pdf'>pdf</a></td></tr><tr><td>2018</td><td>sans lien</td><td>-</td></tr></table>"
+    pages = spark.createDataFrame([("u1", page + '<a rel="next" href="u2">»</a>'), ("u2", "<table><tr><th>Nom</th></tr><tr><td>2020</td></tr></table><a href='u3' rel='next'>»</a>"), ("u3", "<a rel='next' href='u1'>»</a>"), ("v", None)], "url string, html string")
+    got = pages.where("url in ('u1', 'u2', 'v')").select("url", files.statement_rows(F.col("html"), "http://s").alias("r")).collect()
+    assert {r.url: r.r and [tuple(x) for x in r.r] for r in got} == {"u1": [(2020, "RFA", "http://s/a.pdf"), (2019, "semestriel 2019", "http://s/b.pdf")], "u2": None, "v": None}
+    first = spark.createDataFrame([("u1",), ("v",), ("absent",)], "url string")
+    assert {(r.depart, r.url, r.pas) for r in files.follow_pages(pages, first).collect()} == {("u1", "u1", 0), ("u1", "u2", 1), ("u1", "u3", 2), ("v", "v", 0)}
+    new, old = (spark.createDataFrame(x, "job string, chemin string") for x in ([("a", "n/a")], [("a", "o/a"), ("b", "o/b")]))
+    assert {tuple(r) for r in files.jobs_of(new, old, ["job"]).collect()} == {("a", "n/a", "nouveau"), ("b", "o/b", "ancien")}
+    kept = str(tmp_path / "cache")
+    assert [files.cached(spark, kept, lambda n=n: spark.range(n), force).count() for n, force in ((2, False), (3, False), (3, True))] == [2, 2, 3]
+
+
+def test_few_filled_and_cost_per_head(spark):
+    df = spark.createDataFrame([(1, "a", None, 2.0), (2, " ", None, None), (3, "a", "b", None)], "id int, x string, y string, z double")
+    assert [r.id for r in df.where(rules.few_filled(df, ["x", "y", "z"], 2)).collect()] == [2]
+    rows = [("a", 2020, 1.0, 10.0, 1.0), ("a", 2021, 1.0, None, 1.0), ("b", 2020, 1.0, None, 2.0), ("b", 2021, 90.0, None, 0.0), ("c", 2020, 1.0, None, None), ("d", 2020, 0.1, 4.0, 1.0)]
+    facts = spark.createDataFrame(rows, "e string, an int, c double, t double, g double")
+    assert {(r.e, r.an): r.par_tete for r in rules.cost_per_head(facts, "e", "an", "c", "t", "g").collect()} == {("d", 2020): 25000.0}
+
+
 def test_incremental_runs_read_each_file_once(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
     one = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("b", 1, "y")], "k string, p int, v string")

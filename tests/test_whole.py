@@ -147,3 +147,16 @@ def test_all_candidates_meet_the_documents(spark):
     both = {n: (docs.count(n) or None, found.count(n) or None) for n in {*docs, *found}}
     assert got == {n: (a, b, "documents" if b is None else "candidats" if a is None else "les_deux") for n, (a, b) in both.items()}
     assert sum(b or 0 for _, b, _ in got.values()) == len(found)
+
+
+def test_names_meet_all_issuers_that_matter(spark):
+    """The bigram index loses no issuer that a comparison with all would choose."""
+    from ledgerlake.functions.fuzzy import label_key, similarity
+
+    known = sorted({r.nom for r in frame(spark, "emetteurs", "nom") if r.nom})
+    want = {}
+    for name in {r.entreprise for r in frame(spark, "data_cifen", "entreprise") if r.entreprise is not None}:
+        key = label_key(name)
+        best = min(((-1.0 if label_key(n) == key else -round(similarity(key, label_key(n)), 3), n) for n in known))
+        want[name] = (best[1], -best[0]) if -best[0] >= 0.55 else (None, None)
+    assert {r.nom: (r.trouve, r.score) for r in rows(spark, "fuzzy_name")} == want
