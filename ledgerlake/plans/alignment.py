@@ -44,7 +44,13 @@ def split_fused(spark: SparkSession, folder: str) -> DataFrame:
     return A.split_tables(lines(spark, folder), {s: [label for _, label in known] for s, known in entries(spark, folder).items()})
 
 
-@query()
+SQL_LINES = "SELECT tableau_id AS \"table\", bilan AS section, rang, field_id, original_label AS label, value_current AS courant, value_previous AS precedent FROM extracted_fields"
+
+
+@query(f"""
+WITH l AS (SELECT *, coalesce(trim(label), '') = '' AND coalesce(trim(courant), '') <> '' AND coalesce(trim(precedent), '') = '' AS orphelin, coalesce(trim(courant), '') = '' AS vide FROM ({SQL_LINES})),
+w AS (SELECT *, lead(orphelin) OVER o AS apres, lead(courant) OVER o AS valeur, lag(vide AND NOT orphelin) OVER o AS avant_vide FROM l WINDOW o AS (PARTITION BY "table" ORDER BY rang, field_id))
+SELECT "table", section, rang, field_id, label, CASE WHEN vide AND apres AND NOT orphelin THEN valeur ELSE courant END AS courant, precedent FROM w WHERE NOT (orphelin AND coalesce(avant_vide, false))""")
 def orphan_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Values of lines without label carried back."""
     return A.carry_orphans(lines(spark, folder))
@@ -122,7 +128,9 @@ def partial_repair(spark: SparkSession, folder: str) -> DataFrame:
     return typed.join(with_sheet, "doc_id", "left_semi").select("doc_id", "bloc", "genre", "n").groupBy("doc_id").applyInPandas(run, "doc_id bigint, bloc int, genre string, avec string, confiance double, partiel boolean")
 
 
-@query()
+@query("""
+WITH v AS (SELECT n_name, year(o_orderdate)::INTEGER AS an, round(sum(o_totalprice::DECIMAL(18,2)))::DOUBLE AS v FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderdate IS NOT NULL GROUP BY ALL)
+SELECT n_name || ' ' || (an - an % 3) || '-' || (an - an % 3 + 2) AS page, 'chiffre_affaires_annee_' || (an % 3 + 1) AS champ, v AS valeur FROM v""")
 def page_indicators(spark: SparkSession, folder: str) -> DataFrame:
     """Indicators of pages made of the orders of a nation, three years a page from a year divisible by three on: a line
     of years, a line of numbers. All three years stand in the header; a year without orders has no value."""

@@ -247,6 +247,12 @@ def sql_title_scores() -> str:
     return f"SELECT cand_id, {v1} AS score_1, {v2} AS score_2 FROM doc_candidates"
 
 
+def sql_title_light() -> str:
+    from ledgerlake.functions.scores import TITLE_WEIGHTS_LIGHT
+
+    return "SELECT cand_id, greatest(0, " + ", ".join(f"CASE WHEN contains({SQL_TITLE}, '{p}') THEN {w} ELSE 0 END" for p, w in TITLE_WEIGHTS_LIGHT.items()) + ") AS score_3 FROM doc_candidates"
+
+
 @query(sql_title_scores())
 def title_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Two scores of a title."""
@@ -254,7 +260,7 @@ def title_scores(spark: SparkSession, folder: str) -> DataFrame:
     return candidates(spark, folder, "cand_id", "titre").select("cand_id", title_score(t).alias("score_1"), title_score_ordered(t).alias("score_2"))
 
 
-@query()
+@query(sql_title_light())
 def title_scores_light(spark: SparkSession, folder: str) -> DataFrame:
     """Third score of a title, beside ``title_scores``."""
     return candidates(spark, folder, "cand_id", "titre").select("cand_id", title_score_light(unaccent(F.col("titre"))).alias("score_3"))

@@ -221,3 +221,25 @@ def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
             "hors_motif", "hors_bornes", F.coalesce("distance", "ks").alias("distance_charge_prec"),
         )
     )
+
+
+#: The findings as SQL, for the comparison: whole tables, no sketch.
+P5_FOUND = """
+WITH a AS (SELECT charge_id, colonne, v FROM (SELECT * EXCLUDE (row_id, entreprise, annee, maj_le) FROM data_cifen) UNPIVOT INCLUDE NULLS (v FOR colonne IN (COLUMNS(* EXCLUDE (charge_id))))),
+acc AS (SELECT charge_id, colonne, count(*) AS lignes, count(v) FILTER (NOT isnan(v)) AS n, median(abs(v)) FILTER (NOT isnan(v)) AS m, 0 AS u, true AS compte FROM a GROUP BY charge_id, colonne),
+k AS (SELECT charge_id, 'entreprise' AS colonne, count(*) AS lignes, count(entreprise) AS n, NULL AS m, count(DISTINCT entreprise) AS u, false AS compte FROM data_cifen GROUP BY charge_id
+  UNION ALL SELECT charge_id, 'annee', count(*), count(annee), NULL, count(DISTINCT annee), false FROM data_cifen GROUP BY charge_id),
+g AS (SELECT * FROM acc UNION ALL SELECT * FROM k),
+p AS (SELECT n.*, o.lignes AS lignes0, o.n AS n0, o.m AS m0, o.u AS u0 FROM g n JOIN charges c USING (charge_id) JOIN g o ON o.charge_id = c.charge_prec AND o.colonne = n.colonne),
+s AS (SELECT charge_id, annee, count(*) AS c, sum(count(*)) OVER (PARTITION BY charge_id) AS t FROM data_cifen WHERE annee IS NOT NULL GROUP BY charge_id, annee),
+pairs AS (SELECT charge_id, charge_prec FROM charges WHERE charge_id IN (SELECT charge_id FROM s) AND charge_prec IN (SELECT charge_id FROM s)),
+d AS (SELECT charge_id, sum(abs(d)) / 2 AS d FROM (SELECT charge_id, annee, sum(p) AS d FROM (
+  SELECT pairs.charge_id, annee, c / t AS p FROM pairs JOIN s USING (charge_id) UNION ALL SELECT pairs.charge_id, annee, -(c / t) FROM pairs JOIN s ON s.charge_id = pairs.charge_prec) GROUP BY charge_id, annee) GROUP BY charge_id),
+e AS (SELECT colonne, motif, borne_min, borne_max FROM profil_attendu),
+b AS (SELECT charge_id, colonne, v FROM a WHERE NOT isnan(v) UNION ALL SELECT charge_id, 'annee', annee::DOUBLE FROM data_cifen WHERE annee IS NOT NULL)
+SELECT DISTINCT charge_id, 'entreprise' AS colonne, 'motif' AS constat FROM data_cifen JOIN e ON e.colonne = 'entreprise' WHERE NOT regexp_matches(entreprise, motif)
+UNION ALL SELECT DISTINCT charge_id, b.colonne, 'bornes' FROM b JOIN e USING (colonne) WHERE (NOT isnan(borne_min) AND v < borne_min) OR (NOT isnan(borne_max) AND v > borne_max)
+UNION ALL SELECT charge_id, colonne, 'nuls' FROM p WHERE abs((lignes - n) / lignes - (lignes0 - n0) / lignes0) > 0.25
+UNION ALL SELECT charge_id, colonne, 'distincts' FROM p WHERE NOT compte AND (u * 2 < u0 OR u > u0 * 2)
+UNION ALL SELECT charge_id, colonne, 'echelle' FROM p WHERE compte AND least(n, n0) >= 10 AND (m > m0 * 30 OR m0 > m * 30)
+UNION ALL SELECT charge_id, 'annee', 'repartition' FROM d WHERE d > 0.5 + 1e-12"""

@@ -19,4 +19,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {"p5_found": quality.P5_FOUND, **ORACLES}
