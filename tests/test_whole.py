@@ -160,3 +160,34 @@ def test_names_meet_all_issuers_that_matter(spark):
         best = min(((-1.0 if label_key(n) == key else -round(similarity(key, label_key(n)), 3), n) for n in known))
         want[name] = (best[1], -best[0]) if -best[0] >= 0.55 else (None, None)
     assert {r.nom: (r.trouve, r.score) for r in rows(spark, "fuzzy_name")} == want
+
+
+def small_tables(spark, folder):
+    """A few tables whose results were worked out by hand."""
+    catalogue = [("ACTIF", 1, "A1", "Frais préliminaires"), ("ACTIF", 2, "A2", "Terrains"), ("ACTIF", 3, "A3", "Constructions"), ("ACTIF", 4, "AT", "Total de l'actif"), ("CPC", 1, "C1", "Ventes de marchandises"), ("CPC", 2, "C2", "Variation des stocks de produits"), ("CPC", 3, "C3", "Impôts et taxes"), ("CPC", 4, "C4", "Charges de personnel")]
+    spark.createDataFrame(catalogue, "section string, pos int, code string, label string").write.parquet(f"{folder}/champs_cifen.parquet")
+    rows = [
+        (1, 10, "ACTIF", 1, "EXERCICE 2020", "", ""), (2, 10, "ACTIF", 2, "Frais prelimnaires", "5", "4"), (3, 10, "ACTIF", 3, "Terrains Constructions", "9", "8"), (4, 10, "ACTIF", 4, "xyz", "1", ""), (5, 10, "ACTIF", 5, "TOTAL DE L'ACTIF", "15", "12"),
+        (6, 20, "CPC", 1, "Variation des stocks de produits Impôts et taxes", "7", "6"), (7, 20, "CPC", 2, "Charges du personnel", "3", ""), (8, 20, "CPC", 3, "TOTAL CHARGES", "10", "6"), (9, 20, "CPC", 4, None, None, None), (10, 30, "AUTRE", 1, "Terrains", "1", "1"),
+    ]
+    spark.createDataFrame(rows, "field_id long, tableau_id long, bilan string, rang int, original_label string, value_current string, value_previous string").write.parquet(f"{folder}/extracted_fields.parquet")
+    texts = [(1, "Bilan : total de l'actif 10\nnote\nTrésorerie 5\nTotal du passif 10"), (2, "Total de l'actif 3"), (3, "rien"), (4, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+
+
+def test_grouped_queries_on_a_small_case(spark, tmp_path):
+    folder = str(tmp_path)
+    small_tables(spark, folder)
+    got = {name: sorted((tuple(r) for r in rows(spark, name, folder)), key=str) for name in ("align_labels", "split_fused", "section_values", "field_coverage", "partial_repair")}
+    # exact, contained and misspelt labels find their account, each account once; headers, totals of others and unknown sections none
+    assert {r[0]: r[1] for r in got["align_labels"]} == {1: None, 2: "A1", 3: "A2", 4: None, 5: "AT", 6: "C2", 7: "C4", 8: None, 9: None, 10: None}
+    assert {r[0]: r[2] for r in got["align_labels"] if r[1]} == {2: 0.973, 3: 0.9, 5: 1.0, 6: 0.9, 7: 0.95} and not any(r[3] for r in got["align_labels"])
+    # the fused income line becomes two, its values stay on the first
+    flag = "LIGNE_ECLATEE n=2 confiance=1.00"
+    assert [r[3:] for r in got["split_fused"] if r[1] == "CPC"] == [("Variation des stocks de produits", "7", "6", flag), ("Impôts et taxes", "", "", flag), ("Charges du personnel", "3", "", ""), ("TOTAL CHARGES", "10", "6", ""), ("", "", "", "")]
+    assert [r[3] for r in got["split_fused"] if r[1] == "ACTIF"] == ["EXERCICE 2020", "Frais prelimnaires", "Terrains Constructions", "xyz", "TOTAL DE L'ACTIF"]
+    # the header line goes
+    assert [r[2:] for r in got["section_values"] if r[0] == 10] == [(2, "Frais prelimnaires", "5", "4"), (3, "Terrains Constructions", "9", "8"), (4, "xyz", "1", ""), (5, "TOTAL DE L'ACTIF", "15", "12")]
+    assert got["field_coverage"] == [(10, "ACTIF", 4, 1.0), (20, "CPC", 3, 0.75), (30, "AUTRE", 0, 0.0)]
+    # the first sheet takes both neighbours; the one without any stays partial, at six tenths of its confidence
+    assert got["partial_repair"] == [(1, 0, "bilan", "2;3", 0.9, False), (1, 2, "fusionne", "", 0.3, False), (1, 3, "fusionne", "", 0.3, False), (2, 0, "bilan", "", 0.18, True)]
