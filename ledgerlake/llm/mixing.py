@@ -19,8 +19,10 @@ from ledgerlake.sources.tables import table
 
 #: Sources a mix may have; their targets are held by the driver.
 MOST_SOURCES = 10_000
-#: Newton steps at most, relative error of a source's tokens at which it ends, parts of a group of equal lengths.
-STEPS, ERROR, SALTS = 60, 1e-9, 64
+#: Newton steps at most, relative error of a source's tokens at which it ends.
+STEPS, ERROR = 60, 1e-9
+#: Documents that a part of a group of equal lengths should hold, and least parts of one.
+PART_DOCS, LEAST_PARTS = 1_000_000, 64
 #: Exponents beyond this are cut; the rate is at its bound long before.
 LARGEST_EXPONENT = 60.0
 
@@ -109,7 +111,8 @@ def mixed(documents: DataFrame, mix_table: DataFrame, total: float | None = None
     # prefix sums: over the lengths of a source, then over the parts of a length, then within a part
     ahead = Window.partitionBy("source").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     rated = rated.withColumn("before", F.coalesce(F.sum(F.col("c") * F.col("r")).over(ahead), F.lit(0.0))).drop("c")
-    salted = counts.where("n > 0").withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    largest = lengths.agg(F.max("c").alias("c")).first().c
+    salted = counts.where("n > 0").withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(max(LEAST_PARTS, -(-largest // PART_DOCS)))).cast("int"))
     within = Window.partitionBy("source", "n").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
     parts = salted.groupBy("source", "n", "h").agg(F.count(F.lit(1)).alias("k")).withColumn("earlier", F.coalesce(F.sum("k").over(within), F.lit(0))).drop("k")
     placed = parts.join(rated, ["source", "n"])
