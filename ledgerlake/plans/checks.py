@@ -158,6 +158,21 @@ def fill_rate_global(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select((F.col("n") * len(FILLED)).alias("cellules"), total_filled().alias("remplies")).withColumn("taux_pct", R.percent(F.col("remplies"), F.col("cellules")))
 
 
+@query(f"""
+WITH out AS (SELECT nom FROM emetteurs WHERE secteur = '{OUT_OF_SCOPE}'), r AS (SELECT entreprise, {SQL_FILLED} AS f FROM data_cifen),
+s AS (SELECT 'brut' AS portee, f FROM r UNION ALL SELECT 'perimetre', f FROM r WHERE entreprise IS NULL OR entreprise NOT IN (SELECT nom FROM out)),
+c AS (SELECT portee, count(*) * {len(FILLED)} AS cellules, sum(f)::BIGINT AS remplies FROM s GROUP BY portee)
+SELECT portee, cellules, remplies, {sql_pct('remplies', 'cellules')} AS taux_pct FROM c""")
+def fill_rate_gross_vs_scope(spark: SparkSession, folder: str) -> DataFrame:
+    """Fill rate on all rows and on those in scope, in one pass; rows without company stay in scope."""
+    out = table(spark, folder, "emetteurs").where(F.col("secteur") == OUT_OF_SCOPE).select(F.col("nom").alias("entreprise"), F.lit(True).alias("exclu")).dropDuplicates(["entreprise"])
+    marked = facts(spark, folder, "entreprise", *FILLED).select("entreprise", F.expr(ROW_FILLED).alias("f")).join(broadcast_if_small(out), "entreprise", "left")
+    pre = marked.groupBy("exclu").agg(F.count(F.lit(1)).alias("n"), F.sum("f").alias("f"))
+    scopes = F.when(F.col("exclu"), F.array(F.lit("brut"))).otherwise(F.array(F.lit("brut"), F.lit("perimetre")))
+    by_scope = pre.select(F.explode(scopes).alias("portee"), "n", "f").groupBy("portee").agg((F.sum("n") * len(FILLED)).alias("cellules"), F.sum("f").alias("remplies"))
+    return by_scope.withColumn("taux_pct", R.percent(F.col("remplies"), F.col("cellules")))
+
+
 SQL_FILL_ENTITY = f"""
 SELECT entreprise, count(DISTINCT annee) AS annees, count(*) * {len(FILLED)} AS cellules, sum({SQL_FILLED})::BIGINT AS remplies
 FROM data_cifen WHERE entreprise IS NOT NULL GROUP BY entreprise"""
