@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import width, written
 
-#: Distinct values of a block, values a partition should hold, and values after which finished rows are handed on.
-BLOCK, PARTITION_VALUES, FLUSH_VALUES = 32_768, 8_000_000, 262_144
+#: Distinct values of a block, and values after which finished rows are handed on.
+BLOCK, FLUSH_VALUES = 32_768, 262_144
+#: Least values a partition should hold, and their factor to the root of all values: so the number of partitions and
+#: their size both grow, 10^13 values coming to some 50 000 partitions.
+PARTITION_LEAST, PARTITION_ROOT = 500_000, 60
 SCHEMA = "key bigint, pid int, seq int, whole boolean, n bigint, n_old bigint, uniques bigint, lo double, hi double, first double, last double, q array<double>, ks double, vals array<double>, new array<bigint>, old array<bigint>"
 _ARROW = pa.schema(
     [("key", pa.int64()), ("pid", pa.int32()), ("seq", pa.int32()), ("whole", pa.bool_()), ("n", pa.int64()), ("n_old", pa.int64()), ("uniques", pa.int64()), ("lo", pa.float64()), ("hi", pa.float64()), ("first", pa.float64()), ("last", pa.float64()), ("q", pa.list_(pa.float64())), ("ks", pa.float64()), ("vals", pa.list_(pa.float64())), ("new", pa.list_(pa.int64())), ("old", pa.list_(pa.int64()))]
@@ -144,7 +147,7 @@ def sorted_groups(values: DataFrame, probabilities: list[float], rows: int = 0)
     spark = values.sparkSession
     tagged = values if "old" in values.columns else values.withColumn("old", F.lit(False))
     placed = tagged.select("key", "v", "old", F.spark_partition_id().alias("origin"))
-    ordered = placed.repartitionByRange(max(width(spark), rows // PARTITION_VALUES), "key", "v", "origin").sortWithinPartitions("key", "v")
+    ordered = placed.repartitionByRange(max(width(spark), rows // max(PARTITION_LEAST, int(PARTITION_ROOT * rows**0.5))), "key", "v", "origin").sortWithinPartitions("key", "v")
     return written(ordered.select("key", "v", "old").mapInArrow(summarise(probabilities), SCHEMA))
 
 
