@@ -12,7 +12,7 @@ import random
 import re
 
 #: Rows of the table; the bound of the training sample.
-ROWS, SEED = 40000, 7
+ROWS, SEED = 80000, 7
 #: Shares of a row's own words that are replaced by others.
 UNKNOWN = (0.0, 0.0, 0.1, 0.3, 0.5)
 #: First names of several languages.
