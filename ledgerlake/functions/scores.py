@@ -114,6 +114,12 @@ def weighted_score(text: Column, weights: dict[str, int], cap: int = SCORE_CAP)
     return F.least(total, F.lit(cap))
 
 
+def longest_words(phrases: list[str]) -> list[str]:
+    """The longest word of each phrase, without those that hold another: a text without any of them holds no phrase."""
+    words = sorted({max(p.split(), key=len) for p in phrases})
+    return [w for w in words if not any(o in w for o in words if o != w)]
+
+
 def matched(text: Column, weights: dict[str, int]) -> Column:
     return F.array_compact(F.array(*[F.when(text.contains(p), F.lit(p)) for p in weights]))
 

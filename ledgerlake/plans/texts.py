@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -123,6 +126,15 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("bloc", "ligne")).withColumn("n", T.norm_words(F.col("ligne")))
 
 
+def blocks_with(spark: SparkSession, folder: str, phrases: list[str]) -> DataFrame:
+    """Those of the blocks that can hold one of the phrases: words outlast the normaliser, so lines without the longest word
+    of any phrase need none. ``n`` comes out of a generator, or else every use of it would normalise the line anew."""
+    d = documents(spark, folder, "text").where("text is not null").select("doc_id", F.split(T.unaccent(F.col("text")), "\n").alias("lignes"))
+    may = lambda x: reduce(or_, [x.contains(w) for w in K.longest_words(phrases)])
+    normal = F.transform("lignes", lambda x: F.when(may(x), F.trim(F.regexp_replace(x, "[^a-z0-9]+", " "))))
+    return d.select("doc_id", F.posexplode(normal).alias("bloc", "n")).where("n is not null")
+
+
 SQL_BLOCKS = f"""
 lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 pos AS (SELECT doc_id, unnest(range(0, len(l)))::INTEGER AS bloc, unnest(l) AS ligne FROM lines),
@@ -291,8 +303,9 @@ def best_page(spark: SparkSession, folder: str) -> DataFrame:
     """Best block of each document, with a bonus where both totals stand; blocks of the wanted variant first, any other only if there is none."""
     n = F.col("n")
     bonus = F.when(n.contains("total de l actif") & n.contains("total du passif"), 40).otherwise(0)
-    scored = blocks(spark, folder).select("doc_id", "bloc", (K.weighted_score(n, K.CATEGORIES["bilan_actif"]) + bonus).alias("score"), n.contains("consolid").alias("conso")).where("score > 0")
-    best = scored.groupBy("doc_id").agg(F.min(F.struct("conso", (-F.col("score")).alias("s"), "bloc")).alias("b"))
+    scored = blocks_with(spark, folder, list(K.CATEGORIES["bilan_actif"])).select("doc_id", "bloc", (K.weighted_score(n, K.CATEGORIES["bilan_actif"]) + bonus).alias("score"), n.contains("consolid").alias("conso"))
+    # no filter before the aggregate: it would be pushed below the score and have it computed twice
+    best = scored.groupBy("doc_id").agg(F.min(F.when(F.col("score") > 0, F.struct("conso", (-F.col("score")).alias("s"), "bloc"))).alias("b")).where("b is not null")
     return best.select("doc_id", "b.bloc", (-F.col("b.s")).alias("score"))
 
 

@@ -191,3 +191,15 @@ def test_grouped_queries_on_a_small_case(spark, tmp_path):
     assert got["field_coverage"] == [(10, "ACTIF", 4, 1.0), (20, "CPC", 3, 0.75), (30, "AUTRE", 0, 0.0)]
     # the first sheet takes both neighbours; the one without any stays partial, at six tenths of its confidence
     assert got["partial_repair"] == [(1, 0, "bilan", "2;3", 0.9, False), (1, 2, "fusionne", "", 0.3, False), (1, 3, "fusionne", "", 0.3, False), (2, 0, "bilan", "", 0.18, True)]
+
+
+def test_best_page_normalises_a_line_once(spark, tmp_path):
+    """The best block is chosen by hand among lines of odd blanks and signs; the plan holds the normaliser once, not once a phrase."""
+    texts = [
+        (1, "ACTIF\n\t Total -- de l'Actif !\r\nTotal de l\u2019actif et total du passif"), (2, "Actif consolidé : total de l'actif\nétat"), (3, "rien\n\n"), (4, None), (5, ""),
+        (6, "actif consolidé\nTotal de l'actif consolidé"), (7, "bac\ntif\nSTOCKS\u00a0\n stocks "), (8, "banques t.g. et C/C P\n\n"),
+    ]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = registry.queries()["best_page"](spark, str(tmp_path))
+    assert {(r.doc_id, r.bloc, r.score) for r in found.collect()} == {(1, 2, 72), (2, 1, 3), (6, 1, 32), (7, 2, 8), (8, 0, 6)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
