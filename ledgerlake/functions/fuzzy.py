@@ -50,6 +50,67 @@ def similarity(a: str, b: str) -> float:
     return max(plain_ratio, 0.9) if a in b or b in a else plain_ratio
 
 
+class LetterIndex:
+    """Keys by the letters they hold, to find the most similar of many. Letters in common bound the similarity and are
+    counted for all keys at once; only keys whose bound reaches the best score so far are compared, and none else can win."""
+
+    #: Largest loss of a score by rounding to three places, and a little for the bound's own arithmetic.
+    ROUNDING = 0.00051
+
+    def __init__(self, keys: list[str], names: list[str]):
+        self.keys, self.names = keys, names
+        self.columns: dict[tuple[str, int], int] = {}
+        for key in keys:
+            for c in _numbered(key):
+                self.columns.setdefault(c, len(self.columns))
+        self.letters, self.length = self._matrix(keys).T.copy(), np.array([len(k) for k in keys], np.float32)
+
+    def _matrix(self, keys: list[str]) -> np.ndarray:
+        out = np.zeros((len(keys), len(self.columns)), np.float32)
+        for i, key in enumerate(keys):
+            out[i, [self.columns[c] for c in _numbered(key) if c in self.columns]] = 1
+        return out
+
+    def bounds(self, asked: list[str], at_once: int = 32):
+        """(key, bound of its similarity to each key of the index)."""
+        for start in range(0, len(asked), at_once):
+            part = asked[start : start + at_once]
+            size = np.array([len(a) for a in part], np.float32)[:, None]
+            common = self._matrix(part) @ self.letters
+            bound = 2 * common / (size + self.length)
+            yield from zip(part, np.where(common >= np.minimum(size, self.length), np.maximum(bound, 0.9), bound))
+
+    def first(self, asked: list[str]) -> list[float]:
+        """Score of the key of the highest bound, which the best score is not below."""
+        return [round(similarity(a, self.keys[int(bound.argmax())]), 3) for a, bound in self.bounds(asked)]
+
+    def best(self, asked: list[str], least: list[float]) -> list[tuple[str, str, float]]:
+        """(key asked, name, score) of the best key that reaches ``least``; of equal scores the first name."""
+        out = []
+        for (a, bound), floor in zip(self.bounds(asked), least):
+            found: tuple[float, str] | None = None
+            near = np.flatnonzero(bound >= floor - self.ROUNDING)
+            for k in near[np.argsort(-bound[near], kind="stable")]:
+                if bound[k] < floor - self.ROUNDING:
+                    break
+                score = round(similarity(a, self.keys[k]), 3)
+                if score >= floor and (found is None or (-score, self.names[k]) < found):
+                    found, floor = (-score, self.names[k]), score
+            if found:
+                out.append((a, found[1], -found[0]))
+        return out
+
+
+def _numbered(key: str) -> list[tuple[str, int]]:
+    """Letters with how often each came before."""
+    seen: dict[str, int] = {}
+    out = []
+    for c in key:
+        out.append((c, seen.get(c, 0)))
+        seen[c] = seen.get(c, 0) + 1
+    return out
+
+
 class WordRuns:
     """Runs of words of one text; a bound on the ratio from letter counts spares most comparisons and loses none."""
 

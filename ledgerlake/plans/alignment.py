@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.fuzzy import WordRuns, label_key, similarity, words_of
+from ledgerlake.functions.fuzzy import LetterIndex, WordRuns, label_key, words_of
 from ledgerlake.operators import align as A
 from ledgerlake.operators import layout as L
-from ledgerlake.operators.aliases import grams
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.quality import MOST_ENTRIES
 from ledgerlake.plans.texts import block_type, blocks
-from ledgerlake.session import broadcast_if_small, collected, cut
+from ledgerlake.session import broadcast_if_small, collected, cut, width
 from ledgerlake.sources.tables import table
 
-#: Least similarity of a name, and least share of the shorter name's bigrams that two names to be compared have in common.
-LEAST_NAME, LEAST_GRAMS = 0.55, 0.3
+#: Least similarity of a name; names asked for and issuers that meet as one block, about.
+LEAST_NAME, ASKED_BLOCK, KNOWN_BLOCK = 0.55, 1024, 65536
 
 
 def entries(spark: SparkSession, folder: str) -> dict[str, list[tuple[str, str]]]:
@@ -69,7 +70,8 @@ def section_values(spark: SparkSession, folder: str) -> DataFrame:
 def fuzzy_name(spark: SparkSession, folder: str) -> DataFrame:
     """(nom, trouve, score): best issuer of each distinct company spelling by ratio and containment, from 0.55 on.
 
-    Equal keys need no comparison; the other spellings meet the issuers with which they share a part of their bigrams.
+    Equal keys need no comparison; the other keys meet all issuers in blocks, once to find a score that the best is not
+    below, once more to compare those whose letters can reach it, so no issuer is left out that could be the best.
     Of equal scores the first name is taken; a spelling without issuer has a null one.
     """
 
@@ -77,20 +79,39 @@ def fuzzy_name(spark: SparkSession, folder: str) -> DataFrame:
     def keyed(names: pd.Series) -> pd.Series:
         return names.map(label_key)
 
-    @F.pandas_udf("double")
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([round(similarity(x, y), 3) for x, y in zip(a, b)], dtype=float)
-
-    known = cut(table(spark, folder, "emetteurs", F.col("nom").alias("trouve")).where("trouve is not null").distinct().withColumn("cle_e", keyed("trouve")).where("cle_e <> ''"))
+    known = cut(table(spark, folder, "emetteurs", F.col("nom").alias("trouve")).where("trouve is not null").distinct().withColumn("cle_e", keyed("trouve")).where("cle_e <> ''").groupBy("cle_e").agg(F.min("trouve").alias("trouve")))
     names = cut(table(spark, folder, "data_cifen", F.col("entreprise").alias("nom")).where("nom is not null").distinct().withColumn("cle", keyed("nom")))
-    exact = names.join(known, F.col("cle") == F.col("cle_e")).groupBy("nom").agg(F.min("trouve").alias("trouve")).withColumn("score", F.lit(1.0))
-    rest = names.join(exact.select("nom"), "nom", "left_anti")
-    index = known.select("trouve", "cle_e", F.size(grams(F.col("cle_e"))).alias("m"), F.explode(grams(F.col("cle_e"))).alias("g"))
-    asked = rest.select("nom", "cle", F.size(grams(F.col("cle"))).alias("n"), F.explode(grams(F.col("cle"))).alias("g"))
-    shared = asked.join(index, "g").groupBy("nom", "cle", "trouve", "cle_e", "n", "m").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= F.least("n", "m") * LEAST_GRAMS)
-    scored = shared.withColumn("score", score("cle", "cle_e")).where(F.col("score") >= LEAST_NAME)
-    best = scored.groupBy("nom").agg(F.min(F.struct((-F.col("score")).alias("s"), "trouve")).alias("b"))
-    found = exact.unionByName(best.select("nom", "b.trouve", (-F.col("b.s")).alias("score")))
+    exact = names.join(known, F.col("cle") == F.col("cle_e")).select("nom", "trouve", F.lit(1.0).alias("score"))
+    asked = cut(names.where("cle <> ''").select("cle").distinct().join(known.select(F.col("cle_e").alias("cle")), "cle", "left_anti"))
+
+    n_asked, n_known = asked.count(), known.count()
+    parts = max(-(-n_asked // ASKED_BLOCK), min(width(spark), -(-n_asked // 32)), 1)
+    issuers = known.groupBy(F.expr(f"pmod(xxhash64(cle_e), {max(-(-n_known // KNOWN_BLOCK), 1)})").alias("k")).agg(F.collect_list(F.struct("cle_e", "trouve")).alias("e"))
+    issuers = issuers.select("k", F.col("e.cle_e").alias("cles_e"), F.col("e.trouve").alias("trouves"))
+
+    def met(keys: DataFrame, run: Callable, schema: str) -> DataFrame:
+        blocks_asked = keys.groupBy(F.expr(f"pmod(xxhash64(cle), {parts})").alias("q")).agg(F.collect_list(F.struct("cle", "least")).alias("a"))
+        pairs = blocks_asked.select(F.col("a.cle").alias("cles"), F.col("a.least").alias("leasts")).crossJoin(issuers)
+
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held, index = None, None
+            for batch in batches:
+                for r in batch.itertuples():
+                    if index is None or held != r.k:
+                        held, index = r.k, LetterIndex(list(r.cles_e), list(r.trouves))
+                    yield run(index, list(r.cles), list(r.leasts))
+
+        return pairs.repartition(width(spark)).mapInPandas(each, schema)
+
+    def first(index: LetterIndex, keys: list[str], _: list[float]) -> pd.DataFrame:
+        return pd.DataFrame({"cle": keys, "score": index.first(keys)})
+
+    def best(index: LetterIndex, keys: list[str], leasts: list[float]) -> pd.DataFrame:
+        return pd.DataFrame(index.best(keys, leasts), columns=["cle", "trouve", "score"])
+
+    least = met(asked.withColumn("least", F.lit(LEAST_NAME)), first, "cle string, score double").groupBy("cle").agg(F.greatest(F.max("score"), F.lit(LEAST_NAME)).alias("least"))
+    scored = met(least, best, "cle string, trouve string, score double").groupBy("cle").agg(F.min(F.struct((-F.col("score")).alias("s"), "trouve")).alias("b"))
+    found = exact.unionByName(names.join(scored, "cle").select("nom", "b.trouve", (-F.col("b.s")).alias("score")))
     return names.select("nom").join(found, "nom", "left")
 
 

@@ -203,3 +203,26 @@ def test_best_page_normalises_a_line_once(spark, tmp_path):
     found = registry.queries()["best_page"](spark, str(tmp_path))
     assert {(r.doc_id, r.bloc, r.score) for r in found.collect()} == {(1, 2, 72), (2, 1, 3), (6, 1, 32), (7, 2, 8), (8, 0, 6)}
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
+def test_names_meet_issuers_by_letters_alone(spark, tmp_path):
+    """As a comparison with all, also of issuers that share few bigrams, hold the name or are held by it, or tie; few are compared."""
+    from unittest.mock import patch
+
+    from ledgerlake.functions import fuzzy
+
+    issuers = ["Abcdefgh", "Zab", "Q", "Axbxcxdx", "Axbxcydx", "Société Zalama", "zalama!", "---", "Atlas Banque", "Banque Atlas", *[f"{a}{b}o{c}i Hotels" for a in "BCDFGH" for b in "aeiou" for c in "KLMNPRST"]]
+    asked = ["Aabbccdd", "abcd", "z q y", "ZALAMA", "zalamas", "Atlas-Banq", "12", "", "B a b o", "Caloki Hotel", "Xyz", None]
+    spark.createDataFrame([(n,) for n in issuers], "nom string").coalesce(1).write.parquet(f"{tmp_path}/emetteurs.parquet")
+    spark.createDataFrame([(n,) for n in asked], "entreprise string").coalesce(1).write.parquet(f"{tmp_path}/data_cifen.parquet")
+    want = {}
+    for name in asked[:-1]:
+        key = fuzzy.label_key(name)
+        best = min((-1.0 if key and key == fuzzy.label_key(n) else -round(fuzzy.similarity(key, fuzzy.label_key(n)), 3), n) for n in issuers)
+        want[name] = (best[1], -best[0]) if -best[0] >= 0.55 else (None, None)
+    assert {r.nom: (r.trouve, r.score) for r in rows(spark, "fuzzy_name", str(tmp_path))} == want
+    keys = [fuzzy.label_key(n) for n in issuers if fuzzy.label_key(n)]
+    with patch.object(fuzzy, "similarity", wraps=fuzzy.similarity) as compared:
+        index = fuzzy.LetterIndex(keys, keys)
+        assert index.best(["caloki hotel"], index.first(["caloki hotel"])) == [("caloki hotel", "caoki hotels", 0.917)]
+    assert compared.call_count < len(keys) / 10
